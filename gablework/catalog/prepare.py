@@ -111,9 +111,9 @@ def split_xy(t: DataFrame) -> DataFrame:
     return x.unionByName(y.withColumnRenamed("sale_price", "liv_area"), allowMissingColumns=True)
 
 
-@query("SELECT id, neighborhood, sale_price FROM listings WHERE neighborhood = 'FRANCE'")
+@query("SELECT id, neighborhood, sale_price FROM listings WHERE neighborhood = 'NATION_7'")
 def one_group(t: DataFrame) -> DataFrame:
-    return select.one_group(t, "neighborhood", "FRANCE").select("id", "neighborhood", "sale_price")
+    return select.one_group(t, "neighborhood", "NATION_7").select("id", "neighborhood", "sale_price")
 
 
 # --- missing values ----------------------------------------------------------

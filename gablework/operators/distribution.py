@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col
-from ..session import kept
+from ..session import kept, small_frame
 
 # Columns with at most this many distinct values (estimated) are counted first.
 FEW_VALUES = 10_000
@@ -102,7 +102,7 @@ def _narrow(values: DataFrame, brackets: dict) -> None:
         open_ = [(i, k, lo, hi) for (i, k), (lo, hi, _) in brackets.items() if lo < hi]
         if not open_:
             return
-        targets = F.broadcast(spark.createDataFrame(open_, "which int, k bigint, lo double, hi double"))
+        targets = F.broadcast(small_frame(spark, open_, "which int, k bigint, lo double, hi double"))
         part = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
         counts = (values.join(targets, "which").where("x >= lo and x <= hi")
                   .groupBy("which", "k", F.least(part, F.lit(BINS - 1)).alias("bin"))

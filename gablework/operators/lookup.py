@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.columns import col
-from ..session import LOOKUP_ROWS, fresh_path, rows_within
+from ..session import LOOKUP_ROWS, fresh_path, rows_within, small_frame
 from ..stage import Fitted
 
 
@@ -33,7 +33,7 @@ def thaw(spark: SparkSession, frozen: dict) -> DataFrame:
     schema = T.StructType.fromJson(json.loads(frozen["schema"]))
     if frozen["rows"] is None:
         return spark.read.schema(schema).parquet(frozen["path"])
-    return F.broadcast(spark.createDataFrame([tuple(r) for r in frozen["rows"]], schema))
+    return F.broadcast(small_frame(spark, frozen["rows"], schema))
 
 
 class LookupModel(Fitted):

@@ -5,10 +5,12 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Rows of a fitted look-up that may live on the driver and be broadcast.
 # Anything larger stays a distributed table.
@@ -57,3 +59,15 @@ def rows_within(df: DataFrame, bound: int) -> list | None:
     """All rows when there are at most ``bound`` of them, else ``None``."""
     rows = df.limit(bound + 1).collect()
     return rows if len(rows) <= bound else None
+
+
+def small_frame(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
+    """A few driver-side rows as a local relation: its size is known to the planner, and
+    no Python worker is needed to read it."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    columns = list(zip(*rows)) or [()] * len(schema.fields)
+    arrow = pa.Table.from_arrays(
+        [pa.array(values, type=field.type) for values, field in zip(columns, to_arrow_schema(schema))],
+        schema=to_arrow_schema(schema))
+    return spark.createDataFrame(arrow, schema)
