@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -133,11 +134,12 @@ def corr_with(df: DataFrame, y: str, columns: Sequence[str]) -> DataFrame:
 # --- histograms --------------------------------------------------------------
 
 def _bins(df: DataFrame, x: str, bins: int):
-    low, high = df.agg(F.min(col(x).cast("double")), F.max(col(x).cast("double"))).first()
+    value = col(x).cast("double")
+    low, high, total = df.agg(F.min(value), F.max(value), F.count(value)).first()
     if low is None or low == high:
         low, high = (0.0, 1.0) if low is None else (low, low + 1.0)
     number = F.least(F.floor((col(x) - F.lit(low)) / F.lit(high - low) * bins), F.lit(bins - 1)).cast("int")
-    return low, (high - low) / bins, number
+    return low, (high - low) / bins, total, number
 
 
 def histogram(df: DataFrame, x: str, bins: int, facet: str | None = None) -> DataFrame:
@@ -145,7 +147,7 @@ def histogram(df: DataFrame, x: str, bins: int, facet: str | None = None) -> Dat
     present = df.where(col(x).isNotNull())
     if facet:
         present = present.where(col(facet).isNotNull())
-    _, _, number = _bins(present, x, bins)
+    *_, number = _bins(present, x, bins)
     keys = [col(facet)] if facet else []
     return present.groupBy(*keys, number.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -154,16 +156,14 @@ def normal_fit(df: DataFrame, x: str, bins: int) -> DataFrame:
     """Observed density per bin beside the density of the normal with the same mean and
     population standard deviation, at the bin's center."""
     present = df.where(col(x).isNotNull())
-    low, width, number = _bins(present, x, bins)
+    low, width, total, number = _bins(present, x, bins)
     mean, std = fit_moments(present, [x])[x]
-    # first an aggregate per bin, then a total over at most `bins` rows
     counted = present.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counted.agg(F.sum("n_rows").alias("total"))
     center = F.lit(low) + (F.col("bin") + 0.5) * F.lit(width)
     z = (center - F.lit(mean)) / F.lit(std)
-    return counted.join(F.broadcast(total)).select(
-        "bin", "n_rows", (F.col("n_rows") / (F.col("total") * F.lit(width))).alias("density"),
-        (F.exp(-z * z / 2) / F.lit(std * (2 * 3.141592653589793) ** 0.5)).alias("normal_density"))
+    return counted.select(
+        "bin", "n_rows", (F.col("n_rows") / F.lit(total * width)).alias("density"),
+        (F.exp(-z * z / 2) / F.lit(std * (2 * math.pi) ** 0.5)).alias("normal_density"))
 
 
 # --- simple regression -------------------------------------------------------
