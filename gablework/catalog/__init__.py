@@ -6,6 +6,6 @@ the SQL text, for operators that SQL can express.
 
 from .registry import ORACLES, QUERIES
 
-from . import prepare, profile, features  # noqa: E402,F401
+from . import prepare, profile, features, models  # noqa: E402,F401
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -98,15 +98,16 @@ listings AS (
 """
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, recursive: bool = False):
     """Register ``fn(listings) -> DataFrame`` under its own name. ``sql`` continues the
-    WITH list that defines ``listings``."""
+    WITH list that defines ``listings``; ``recursive`` if one of its tables is."""
     def register(fn):
         name = fn.__name__
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
         QUERIES[name] = lambda spark, folder: fn(listings(spark, folder))
         if sql is not None:
-            ORACLES[name] = LISTINGS_SQL + sql.rstrip()
+            start = LISTINGS_SQL.replace("WITH", "WITH RECURSIVE", 1) if recursive else LISTINGS_SQL
+            ORACLES[name] = start + sql.rstrip()
         return fn
     return register

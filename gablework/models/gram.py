@@ -8,12 +8,13 @@ most of the table costs no more than any other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import col
+from ..session import runs_in_tasks
 
 # Above this many products the matrix is added up in numpy instead of by one SQL
 # aggregate per product.
@@ -25,30 +26,34 @@ HELD_DOUBLES = 4_000_000
 
 
 def gram(df: DataFrame, columns: Sequence[Column], keys: Sequence[str] = (),
-         shift: Sequence[float] | None = None) -> DataFrame:
+         shift: Sequence[float] | None = None,
+         expand: tuple[int, Callable[[np.ndarray], np.ndarray]] | None = None) -> DataFrame:
     """One row per key: the keys and ``gram``, the upper triangle of sum(z z') by rows.
 
     Rows with a missing value in any column are left out. ``shift`` is subtracted from
     the columns first, which keeps digits when a mean is far larger than its spread.
+    ``expand`` is (width, function): a block of rows is turned into ``width`` columns
+    before it is multiplied, so that wide derived features never become table columns.
     """
-    if len(columns) > WIDEST:
-        raise ValueError(f"{len(columns)} columns; moment matrices are kept to {WIDEST}")
+    width = expand[0] if expand else len(columns)
+    if width > WIDEST:
+        raise ValueError(f"{width} columns; moment matrices are kept to {WIDEST}")
     shift = list(shift) if shift is not None else [0.0] * len(columns)
-    # aggregates over an empty key list give one row even for no rows
     z = [(c.cast("double") - F.lit(float(s))) if s else c.cast("double") for c, s in zip(columns, shift)]
     narrow = df.select(*[col(k) for k in keys], *[c.alias(f"_z{i}") for i, c in enumerate(z)])
     names = [f"_z{i}" for i in range(len(z))]
     narrow = narrow.dropna(subset=names)
     m = len(z) + 1
-    if m * (m + 1) // 2 <= BUILTIN_PRODUCTS:
+    if not expand and m * (m + 1) // 2 <= BUILTIN_PRODUCTS:
         each = [F.lit(1.0), *[F.col(n) for n in names]]
         sums = [F.sum(each[i] * each[j] if i else each[j]) for i in range(m) for j in range(i, m)]
         return narrow.groupBy(*[col(k) for k in keys]).agg(F.array(*sums).alias("gram"))
-    return _numpy_gram(narrow, names, keys)
+    return _numpy_gram(narrow, names, keys, expand)
 
 
-def _numpy_gram(narrow: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    keys, width, held = list(keys), len(names), HELD_DOUBLES
+def _numpy_gram(narrow: DataFrame, names: Sequence[str], keys: Sequence[str], expand=None) -> DataFrame:
+    keys, held, read = list(keys), HELD_DOUBLES, len(names)
+    width, change = expand if expand else (read, None)
     rows = narrow.select(*[col(k) for k in keys], F.array(*[F.col(n) for n in names]).alias("z"))
     key_fields = [narrow.schema[k] for k in keys]
     schema = T.StructType([*key_fields, T.StructField("gram", T.ArrayType(T.DoubleType()))])
@@ -72,7 +77,8 @@ def _numpy_gram(narrow: DataFrame, names: Sequence[str], keys: Sequence[str]) ->
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = batch.column("z").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+            x = batch.column("z").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, read)
+            x = change(x) if change else x
             z = np.column_stack([np.ones(batch.num_rows), x])
             if keys:
                 frame = pd.DataFrame({k: batch.column(k).to_pandas() for k in keys})
@@ -110,10 +116,10 @@ def square(flat) -> np.ndarray:
 
 
 def collect_gram(df: DataFrame, columns: Sequence[Column], keys: Sequence[str] = (),
-                 shift: Sequence[float] | None = None) -> dict:
+                 shift: Sequence[float] | None = None, expand=None) -> dict:
     """{key tuple: matrix} for keys known to be few, such as folds."""
     return {tuple(r[k] for k in keys): square(r["gram"])
-            for r in gram(df, columns, keys, shift).collect() if r["gram"][0] is not None}
+            for r in gram(df, columns, keys, shift, expand).collect() if r["gram"][0] is not None}
 
 
 def pairwise_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -136,3 +142,6 @@ def pairwise_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = [(columns[i], columns[j], None if not np.isfinite(r[i, j]) else float(r[i, j]))
             for i in range(p) for j in range(i + 1, p)]
     return small_frame(df.sparkSession, rows, "a string, b string, r double")
+
+
+runs_in_tasks(__name__)

@@ -1,14 +1,19 @@
-"""Linear models from one moment matrix: least squares, ridge, lasso, elastic net."""
+"""Linear models from one moment matrix: least squares, ridge, lasso, elastic net.
+
+Every learner in this package has ``fit(df, features, target, prediction)`` and returns
+an ML transformer that adds the prediction column.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from ..functions.columns import col, dot
-from ..stage import Fitted, Learner
+from ..stage import Fitted
 from . import solve
 from .gram import collect_gram
 
@@ -28,56 +33,63 @@ class LinearFit(Fitted):
     def slopes(self) -> dict[str, float]:
         return dict(zip(self["features"], self["slopes"]))
 
-    def expression(self):
+    def expression(self) -> Column:
         return dot([col(c).cast("double") for c in self["features"]], self["slopes"], self["intercept"])
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self["prediction"], self.expression())
 
 
-class LinearLearner(Learner):
-    """``penalty``: "none", "ridge" (alpha on the sum of squares) or "elastic" (alpha and
-    l1_ratio on half the mean square)."""
+@dataclass(frozen=True)
+class Linear:
+    """Least squares."""
+
+    def solve(self, g: np.ndarray):
+        return solve.ridge(g)
+
+    def fit(self, df: DataFrame, features: Sequence[str], target: str, prediction: str = "prediction") -> LinearFit:
+        found = collect_gram(df, [col(c) for c in [*features, target]])
+        if not found:
+            raise ValueError("no complete rows to fit on")
+        return LinearFit(features, *self.solve(found[()]), prediction)
+
+
+@dataclass(frozen=True)
+class Ridge(Linear):
+    """``alpha`` times the squared slopes, added to the sum of squared errors."""
+
+    alpha: float = 1.0
+
+    def solve(self, g: np.ndarray):
+        return solve.ridge(g, self.alpha)
 
-    def __init__(self, features=(), target=None, penalty="none", alpha=0.0, l1_ratio=1.0, prediction="prediction"):
-        super().__init__(**({"features": list(features), "target": target, "penalty": penalty,
-                             "alpha": float(alpha), "l1_ratio": float(l1_ratio),
-                             "prediction": prediction} if target else {}))
 
-    def with_features(self, features, target, prediction=None) -> LinearLearner:
-        return LinearLearner(features, target, self["penalty"], self["alpha"], self["l1_ratio"],
-                             prediction or self["prediction"])
+@dataclass(frozen=True)
+class ElasticNet(Linear):
+    """Half the mean squared error + alpha * (l1_ratio |b| + (1 - l1_ratio) b^2 / 2)."""
+
+    alpha: float = 1.0
+    l1_ratio: float = 0.5
 
     def solve(self, g: np.ndarray):
-        if self["penalty"] == "elastic":
-            return solve.elastic_net(g, self["alpha"], self["l1_ratio"])
-        return solve.ridge(g, self["alpha"] if self["penalty"] == "ridge" else 0.0)
+        return solve.elastic_net(g, self.alpha, self.l1_ratio)
 
-    def from_gram(self, g: np.ndarray) -> LinearFit:
-        intercept, slopes = self.solve(g)
-        return LinearFit(self["features"], intercept, slopes, self["prediction"])
 
-    def _fit(self, df: DataFrame) -> LinearFit:
-        found = collect_gram(df, [col(c) for c in [*self["features"], self["target"]]])
-        if not found:
-            raise ValueError("no complete rows to fit on")
-        return self.from_gram(found[()])
+def Lasso(alpha: float = 1.0) -> ElasticNet:
+    return ElasticNet(alpha, 1.0)
 
 
-def fit_linear(df: DataFrame, features: Sequence[str], target: str, prediction: str = "prediction") -> LinearFit:
-    return LinearLearner(features, target, "none", prediction=prediction).fit(df)
+def fit_linear(df, features, target, prediction="prediction") -> LinearFit:
+    return Linear().fit(df, features, target, prediction)
 
 
-def fit_ridge(df: DataFrame, features: Sequence[str], target: str, alpha: float,
-              prediction: str = "prediction") -> LinearFit:
-    return LinearLearner(features, target, "ridge", alpha, prediction=prediction).fit(df)
+def fit_ridge(df, features, target, alpha, prediction="prediction") -> LinearFit:
+    return Ridge(alpha).fit(df, features, target, prediction)
 
 
-def fit_elastic(df: DataFrame, features: Sequence[str], target: str, alpha: float, l1_ratio: float,
-                prediction: str = "prediction") -> LinearFit:
-    return LinearLearner(features, target, "elastic", alpha, l1_ratio, prediction).fit(df)
+def fit_elastic(df, features, target, alpha, l1_ratio, prediction="prediction") -> LinearFit:
+    return ElasticNet(alpha, l1_ratio).fit(df, features, target, prediction)
 
 
-def fit_lasso(df: DataFrame, features: Sequence[str], target: str, alpha: float,
-              prediction: str = "prediction") -> LinearFit:
-    return fit_elastic(df, features, target, alpha, 1.0, prediction)
+def fit_lasso(df, features, target, alpha, prediction="prediction") -> LinearFit:
+    return Lasso(alpha).fit(df, features, target, prediction)

@@ -6,7 +6,8 @@ A matrix covers z = [1, x..., y]. Coefficients are (intercept, slopes).
 from __future__ import annotations
 
 import numpy as np
-from pyspark import cloudpickle
+
+from ..session import runs_in_tasks
 
 
 def centered(g: np.ndarray):
@@ -70,12 +71,4 @@ def r_squared(g: np.ndarray, intercept: float, b: np.ndarray) -> float:
     return 1.0 - squared_error(g, intercept, b) / spread if spread > 0 else float("nan")
 
 
-def shipped() -> None:
-    """Send this module's functions to the workers by value, so that a task does not
-    need the package on its own path."""
-    import sys
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-shipped()
+runs_in_tasks(__name__)

@@ -15,6 +15,10 @@ from ..session import kept
 from ..stage import Fitted, Learner, unique
 
 
+# A column of this name passes through every plan: whole rows travel in it.
+CARRIED = "_row"
+
+
 def block(name: str, columns: Iterable[str] | None = None, fill=None, one_hot: bool = False,
           scale: Sequence[str] = (), drop: str | None = "first", unseen: str = "error") -> dict:
     """One block. ``fill`` is a value or {column: value}; ``scale`` lists any of
@@ -128,7 +132,7 @@ class FeaturePlanModel(Fitted):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         blocks, learned, final = self["blocks"], self["learned"], self["final"]
-        keep = [c for c in self["keep"] if c in df.columns]
+        keep = [c for c in [*self["keep"], CARRIED] if c in df.columns]
         filled = _filled(df, blocks, keep=keep)
         out, first_pass = [col(c) for c in keep], []
         for b in blocks:

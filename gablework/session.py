@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -71,3 +72,9 @@ def small_frame(spark: SparkSession, rows: Iterable, schema: T.StructType | str)
         [pa.array(values, type=field.type) for values, field in zip(columns, to_arrow_schema(schema))],
         schema=to_arrow_schema(schema))
     return spark.createDataFrame(arrow, schema)
+
+
+def runs_in_tasks(module: str) -> None:
+    """Send a module's functions to tasks by value, so that a worker need not have the
+    package on its path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
