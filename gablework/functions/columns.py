@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def col(name: str) -> Column:
@@ -107,6 +107,13 @@ def conjunction(conditions: Sequence[Column]) -> Column:
     return reduce(and_, conditions, F.lit(True))
 
 
+def complete_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows without a missing value in the named columns. One condition per column:
+    ``dropna`` makes a single condition over all of them, and the optimizer derives
+    exponentially many constraints from that when the columns are renamed."""
+    return df.where(conjunction([col(n).isNotNull() for n in names]))
+
+
 def dot(columns: Sequence[Column], weights: Sequence[float], intercept: float = 0.0) -> Column:
     """intercept + sum of weight * column, skipping zero weights."""
     terms = [F.lit(float(w)) * c for c, w in zip(columns, weights, strict=True) if w != 0.0]

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import col
+from ..functions.columns import col, complete_rows
 from ..session import runs_in_tasks
 
 # Above this many products the matrix is added up in numpy instead of by one SQL
@@ -42,9 +42,9 @@ def gram(df: DataFrame, columns: Sequence[Column], keys: Sequence[str] = (),
     z = [(c.cast("double") - F.lit(float(s))) if s else c.cast("double") for c, s in zip(columns, shift)]
     narrow = df.select(*[col(k) for k in keys], *[c.alias(f"_z{i}") for i, c in enumerate(z)])
     names = [f"_z{i}" for i in range(len(z))]
-    narrow = narrow.dropna(subset=names)
     m = len(z) + 1
     if not expand and m * (m + 1) // 2 <= BUILTIN_PRODUCTS:
+        narrow = complete_rows(narrow, names)
         each = [F.lit(1.0), *[F.col(n) for n in names]]
         sums = [F.sum(each[i] * each[j] if i else each[j]) for i in range(m) for j in range(i, m)]
         return narrow.groupBy(*[col(k) for k in keys]).agg(F.array(*sums).alias("gram"))
@@ -78,10 +78,13 @@ def _numpy_gram(narrow: DataFrame, names: Sequence[str], keys: Sequence[str], ex
             if not batch.num_rows:
                 continue
             x = batch.column("z").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, read)
+            # a missing value arrives as NaN; dropping here spares a filter over every column
+            complete = ~np.isnan(x).any(axis=1)
+            x = x[complete]
             x = change(x) if change else x
-            z = np.column_stack([np.ones(batch.num_rows), x])
+            z = np.column_stack([np.ones(len(x)), x])
             if keys:
-                frame = pd.DataFrame({k: batch.column(k).to_pandas() for k in keys})
+                frame = pd.DataFrame({k: batch.column(k).to_pandas() for k in keys})[complete]
                 parts = frame.groupby(keys, dropna=False, sort=False).indices.items()
             else:
                 parts = [((), slice(None))]

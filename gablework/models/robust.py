@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 
-from ..functions.columns import col
+from ..functions.columns import col, complete_rows
 from ..operators.transformers import assemble
 from ..session import kept
 from .linear import LinearFit
@@ -24,7 +24,8 @@ class Huber:
     max_iter: int = 100
 
     def fit(self, df: DataFrame, features: Sequence[str], target: str, prediction: str = "prediction") -> LinearFit:
-        rows = df.select(*[col(c).cast("double").alias(c) for c in [*features, target]]).dropna()
+        names = [*features, target]
+        rows = complete_rows(df.select(*[col(c).cast("double").alias(c) for c in names]), names)
         with kept(assemble(rows, features, "_x").select("_x", col(target).alias("_y"))) as vectors:
             n = vectors.count()
             fitted = LinearRegression(

@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 
-from ..functions.columns import col
+from ..functions.columns import col, complete_rows
 from ..session import ensure_checkpoint_dir, kept
 
 VECTOR = "_vector"
@@ -24,7 +24,8 @@ class _Trees:
             prediction: str = "prediction") -> PipelineModel:
         """Rows with missing values are left out of the fit and raise in prediction."""
         assembler = VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error")
-        rows = df.select([col(c) for c in dict.fromkeys([*features, target])]).dropna()
+        names = list(dict.fromkeys([*features, target]))
+        rows = complete_rows(df.select([col(c) for c in names]), names)
         ensure_checkpoint_dir(df.sparkSession)
         with kept(assembler.transform(rows).select(VECTOR, target)) as vectors:
             model = self.estimator(target, prediction).fit(vectors)

@@ -8,7 +8,7 @@ is read as it is, since counting it would shuffle every row for nothing.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 from typing import NamedTuple
 
@@ -66,34 +66,37 @@ def weighted_values(df: DataFrame, columns: Sequence[str], found: Sequence[Range
         yield counted if each is None else counted.unionByName(each)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
-                    found: Sequence[Range] | None = None) -> list[dict]:
-    """Per column {q: (x at rank k, x at rank k+1, share of the second)}.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> list[dict]:
+    """Per column {q: (x at rank k, x at rank k+1, share of the second)}."""
+    with kept(df.select([col(c) for c in dict.fromkeys(columns)])) as source:
+        found = ranges(source, columns)
+        with weighted_values(source, columns, found) as values:
+            return quantiles_of(values, found, range(len(columns)), qs)
+
+
+def quantiles_of(values: DataFrame | None, found: Sequence[Range], which: Iterable[int],
+                 qs: Sequence[float]) -> list[dict]:
+    """``exact_quantiles`` of some of the weighted columns.
 
     All wanted ranks are narrowed together: each pass counts the values inside a rank's
     bracket in equal-width bins and keeps the bin that holds the rank, shrunk to the
     values in it. The state is (ranks x bins), whatever the number of rows, and the
     result is exact.
     """
-    with kept(df.select([col(c) for c in dict.fromkeys(columns)])) as source:
-        found = found or ranges(source, columns)
-        wanted, brackets = [], {}
-        for i, r in enumerate(found):
-            spots = {}
-            for q in qs:
-                if not r.n:
-                    continue
-                position = q * (r.n - 1)
-                k = math.floor(position)
-                spots[q] = (k, min(k + 1, r.n - 1), position - k)
-                for rank in spots[q][:2]:
-                    brackets[i, rank] = (r.low, r.high, 0)
-            wanted.append(spots)
-        with weighted_values(source, columns, found) as values:
-            if values is not None:
-                _narrow(values, brackets)
+    which, wanted, brackets = list(which), [], {}
+    for i in which:
+        r, spots = found[i], {}
+        for q in qs if r.n else ():
+            position = q * (r.n - 1)
+            k = math.floor(position)
+            spots[q] = (k, min(k + 1, r.n - 1), position - k)
+            for rank in spots[q][:2]:
+                brackets[i, rank] = (r.low, r.high, 0)
+        wanted.append(spots)
+    if values is not None:
+        _narrow(values, brackets)
     return [{q: (brackets[i, k][0], brackets[i, k1][0], share) for q, (k, k1, share) in spots.items()}
-            for i, spots in enumerate(wanted)]
+            for i, spots in zip(which, wanted)]
 
 
 def _narrow(values: DataFrame, brackets: dict) -> None:
@@ -176,33 +179,39 @@ def yeo_johnson_likelihood(values: DataFrame, means: Sequence[float], starts: Se
     return out
 
 
-def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], found: Sequence[Range] | None = None,
-                    refine: int = 2) -> list[tuple[float, float | None]]:
+def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], refine: int = 2) -> list[tuple[float, float | None]]:
     """(lambda, log-likelihood) per column: the grid -2..2 by 0.1, then ``refine`` rounds
     that are ten times finer around the best, then the top of the parabola through the
     best three points. A constant or empty column keeps lambda 1."""
     with kept(df.select([col(c) for c in dict.fromkeys(columns)])) as source:
-        found = found or ranges(source, columns)
-        means = [r.mean if r.mean is not None else 0.0 for r in found]
-        best: dict[int, tuple[float, float]] = {}
+        found = ranges(source, columns)
         with weighted_values(source, columns, found) as values:
-            starts, step, points = [-2.0] * len(columns), 0.1, 41
-            for round_ in range(refine + 1):
-                if values is None:
-                    break
-                curve = yeo_johnson_likelihood(values, means, starts, step, points)
-                for (i, _), (lam, score) in sorted(curve.items()):
-                    rounded = round(score, 3) if round_ == 0 else score
-                    if i not in best or rounded > best[i][1]:
-                        best[i] = (lam, rounded)
-                if round_ == refine:
-                    if refine:
-                        _parabola(curve, best, step)
-                    break
-                starts = [best.get(i, (1.0,))[0] - step for i in range(len(columns))]
-                step, points = step / 10, 21
-                best = {i: (lam, -math.inf) for i, (lam, _) in best.items()}
-    return [best.get(i, (1.0, None)) for i in range(len(columns))]
+            return lambdas_of(values, found, range(len(columns)), refine)
+
+
+def lambdas_of(values: DataFrame | None, found: Sequence[Range], which: Iterable[int],
+               refine: int = 2) -> list[tuple[float, float | None]]:
+    """``fit_yeo_johnson`` of some of the weighted columns."""
+    which, best = list(which), {}
+    if values is None or not which:
+        return [(1.0, None)] * len(which)
+    means = [r.mean if r.mean is not None else 0.0 for r in found]
+    values = values.where(F.col("which").isin(which))
+    starts, step, points = [-2.0] * len(found), 0.1, 41
+    for round_ in range(refine + 1):
+        curve = yeo_johnson_likelihood(values, means, starts, step, points)
+        for (i, _), (lam, score) in sorted(curve.items()):
+            rounded = round(score, 3) if round_ == 0 else score
+            if i not in best or rounded > best[i][1]:
+                best[i] = (lam, rounded)
+        if round_ == refine:
+            if refine:
+                _parabola(curve, best, step)
+            break
+        starts = [best.get(i, (1.0,))[0] - step for i in range(len(found))]
+        step, points = step / 10, 21
+        best = {i: (lam, -math.inf) for i, (lam, _) in best.items()}
+    return [best.get(i, (1.0, None)) for i in which]
 
 
 def _parabola(curve: dict, best: dict, step: float) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import copy
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -17,7 +16,7 @@ from ..session import kept, small_frame
 from ..validation.folds import with_folds
 from ..validation.search import fold_values, side_by_side
 from .features import FeaturePlan
-from .regressor import SCALED, TabularRegressor, predict_beside
+from .regressor import SCALED, TabularRegressor, fit_together, predict_beside
 from .target import TargetTransform
 
 
@@ -85,10 +84,9 @@ class Stack:
         folded = with_folds(df, self.k, self.key, self.seed, "_fold")
         with kept(folded) as rows:
             folds = fold_values(rows, "_fold")
-            work = [lambda b=b, f=f: copy.copy(b).fit(rows.where(F.col("_fold") != f).drop("_fold"))
-                    for f in folds for b in self.bases]
-            fitted = iter(side_by_side(work))
-            self.fold_models = {f: [next(fitted) for _ in self.bases] for f in folds}
+            fitted = side_by_side([
+                lambda f=f: fit_together(self.bases, rows.where(F.col("_fold") != f).drop("_fold")) for f in folds])
+            self.fold_models = dict(zip(folds, fitted))
         parts = []
         for f in folds:
             held = folded.where(F.col("_fold") == f)

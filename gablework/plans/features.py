@@ -84,22 +84,22 @@ def _learn_scales(source: DataFrame, scaled: dict[str, list[str]]) -> dict:
     columns = list(scaled)
     if not columns:
         return {}
-    found = dict(zip(columns, D.ranges(source, columns)))
+    found = D.ranges(source, columns)
     learned = {c: {"lambda": None, "center": 0.0, "width": 1.0} for c in columns}
-    powered = [c for c in columns if "yeo_johnson" in scaled[c]]
-    if powered:
-        fits = D.fit_yeo_johnson(source, powered, [found[c] for c in powered])
-        for c, (lam, _) in zip(powered, fits):
-            learned[c]["lambda"] = lam
-    robust = [c for c in columns if "robust" in scaled[c]]
-    if robust:
-        # the transform is increasing, so order statistics carry over
-        spots = D.exact_quantiles(source, robust, QUARTILES, [found[c] for c in robust])
-        for c, at in zip(robust, spots):
-            lam = learned[c]["lambda"]
+    powered = [i for i, c in enumerate(columns) if "yeo_johnson" in scaled[c]]
+    robust = [i for i, c in enumerate(columns) if "robust" in scaled[c]]
+    if powered or robust:
+        with D.weighted_values(source, columns, found) as values:
+            fits = D.lambdas_of(values, found, powered)
+            spots = D.quantiles_of(values, found, robust, QUARTILES)
+        for i, (lam, _) in zip(powered, fits):
+            learned[columns[i]]["lambda"] = lam
+        for i, at in zip(robust, spots):
+            # the transform is increasing, so order statistics carry over
+            lam = learned[columns[i]]["lambda"]
             low, mid, high = quartiles_of(at, (lambda x, lam=lam: yeo_johnson_value(x, lam)) if lam is not None
                                           else (lambda x: x))
-            learned[c].update(center=mid, width=_or_one(high - low))
+            learned[columns[i]].update(center=mid, width=_or_one(high - low))
     standard = [c for c in columns if "standard" in scaled[c]]
     if standard:
         moments = fit_moments(source.select([_power(c, learned[c]).alias(c) for c in standard]), standard)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -9,6 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import scores
 from ..functions.columns import col
+from ..models.gram import collect_gram
+from ..models.linear import Linear, LinearFit
+from ..session import kept
 from ..stage import Step
 from .cleaning import CleaningRules
 from .features import CARRIED, FeaturePlan
@@ -48,12 +53,14 @@ class TabularRegressor:
         return [s for s in (cleaner, plan) if s], chain, chain.transform(plan.transform(cleaned))
 
     def fit(self, df: DataFrame) -> PipelineModel:
-        stages, chain, wide = self.prepare(df)
-        model = self.learner.fit(wide, stages[-1].feature_names, SCALED, self.prediction)
-        tail = [InversePrediction(self.target, chain["fitted"], self.prediction)]
-        self.model = PipelineModel([*stages, model, *tail])
+        self.model, = fit_together([self], df)
         return self.model
 
+    def preparation(self) -> str:
+        """What is learned before the learner; equal texts mean equal wide tables."""
+        cleaning = self.cleaning.getOrDefault("config") if self.cleaning else None
+        return json.dumps([cleaning, self.plan.getOrDefault("config"), self.target, self.chain])
+
     def _fitted(self) -> PipelineModel:
         if self.model is None:
             raise ValueError("fit the model first")
@@ -73,6 +80,33 @@ class TabularRegressor:
         return row.asDict()
 
 
+def fit_together(regressors: Sequence[TabularRegressor], df: DataFrame) -> list[PipelineModel]:
+    """Fit several regressors on the same rows. Those that share cleaning, plan and chain
+    share the prepared table, and the linear ones among them one moment matrix."""
+    models: dict[int, PipelineModel] = {}
+    groups: dict[str, list[int]] = {}
+    for i, r in enumerate(regressors):
+        groups.setdefault(r.preparation(), []).append(i)
+    for members in groups.values():
+        stages, chain, wide = regressors[members[0]].prepare(df)
+        names = stages[-1].feature_names
+        linear = [i for i in members if isinstance(regressors[i].learner, Linear)]
+        fits = {}
+        with contextlib.ExitStack() as stack:
+            if len(members) > len(linear):
+                # iterative learners read the table many times
+                wide = stack.enter_context(kept(wide))
+            if linear:
+                g = collect_gram(wide, [col(c) for c in [*names, SCALED]])[()]
+                fits = {i: LinearFit(names, *regressors[i].learner.solve(g), regressors[i].prediction) for i in linear}
+            for i in members:
+                r = regressors[i]
+                model = fits[i] if i in fits else r.learner.fit(wide, names, SCALED, r.prediction)
+                tail = InversePrediction(r.target, chain["fitted"], r.prediction)
+                models[i] = PipelineModel([*stages, model, tail])
+    return [models[i] for i in range(len(regressors))]
+
+
 def predict_beside(model, df: DataFrame, name: str, prediction: str = "prediction") -> DataFrame:
     """The table as it was plus one prediction column: the row travels along in a struct,
     so that no join is needed to bring the two together."""

@@ -131,6 +131,11 @@ def search_regressor(regressor, df: DataFrame, grid: Sequence, fold: str, refit_
     False they are learned once on all rows, which lets the held-out rows leak into the
     scaling but needs fewer passes.
     """
+    with kept(df) as rows:
+        return _search(regressor, rows, grid, fold, refit_plan, scoring)
+
+
+def _search(regressor, df: DataFrame, grid: Sequence, fold: str, refit_plan: bool, scoring: str) -> tuple:
     from ..plans.regressor import SCALED
 
     folds, results = fold_values(df, fold), {i: [] for i in range(len(grid))}
