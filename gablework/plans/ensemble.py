@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
 import numpy as np
@@ -33,7 +34,7 @@ def fold_expression(fits: dict, features: Sequence[str], fold: str) -> Column:
     """The prediction of each row's own fold model: one dot product whose coefficients
     are picked by fold number, so that no row is scored by more than one model."""
     size = max(fits) + 1
-    place = col(fold) + 1
+    place = (col(fold) + 1).cast("int")
 
     def picked(value):
         return F.element_at(F.array(*[F.lit(float(value(f)) if f in fits else None).cast("double")
@@ -68,8 +69,8 @@ class Stack:
     subset beside these predictions.
 
     Every base model sees raw rows and learns its own cleaning and plan inside each
-    training part. The out-of-fold table is written down once per fit and read by every
-    meta fit that follows.
+    training part. The out-of-fold table is computed once and read by every meta fit
+    that follows.
     """
 
     def __init__(self, bases: Sequence[TabularRegressor], meta, plan: FeaturePlan, target: str, key: str,
@@ -79,21 +80,23 @@ class Stack:
         self.names = [f"base_{i}" for i in range(len(self.bases))]
         self.model = None
 
-    def predict_folds(self, df: DataFrame) -> DataFrame:
-        """The rows with one out-of-fold column per base model."""
-        folded = with_folds(df, self.k, self.key, self.seed, "_fold")
-        with kept(folded) as rows:
+    @contextmanager
+    def out_of_fold(self, df: DataFrame) -> Iterator[DataFrame]:
+        """The rows with one out-of-fold column per base model, kept while in use. The
+        fold models stay with the stack."""
+        with kept(with_folds(df, self.k, self.key, self.seed, "_fold")) as rows:
             folds = fold_values(rows, "_fold")
             fitted = side_by_side([
                 lambda f=f: fit_together(self.bases, rows.where(F.col("_fold") != f).drop("_fold")) for f in folds])
             self.fold_models = dict(zip(folds, fitted))
-        parts = []
-        for f in folds:
-            held = folded.where(F.col("_fold") == f)
-            for name, base, model in zip(self.names, self.bases, self.fold_models[f]):
-                held = predict_beside(model, held, name, base.prediction)
-            parts.append(held)
-        return reduce(DataFrame.unionByName, parts)
+            parts = []
+            for f in folds:
+                held = rows.where(F.col("_fold") == f)
+                for name, base, model in zip(self.names, self.bases, self.fold_models[f]):
+                    held = predict_beside(model, held, name, base.prediction)
+                parts.append(held)
+            with kept(reduce(DataFrame.unionByName, parts)) as table:
+                yield table
 
     def _meta_table(self, with_bases: DataFrame):
         cleaner = self.cleaning.fit(with_bases) if self.cleaning else None
@@ -104,15 +107,15 @@ class Stack:
         return stages, chain, chain.transform(plan.transform(cleaned)), [*plan.feature_names, *self.names]
 
     def fit(self, df: DataFrame, oof: DataFrame | None = None) -> Stack:
-        """``oof`` is the outcome of an earlier ``predict_folds``, to be used again."""
-        with kept(oof if oof is not None else self.predict_folds(df)) as table:
+        """``oof`` is a table from ``out_of_fold``, for several fits in a row."""
+        with nullcontext(oof) if oof is not None else self.out_of_fold(df) as table:
             self.stages, self.target_model, wide, self.features = self._meta_table(table)
             self.model = self.meta.fit(wide, self.features, SCALED, "prediction")
         return self
 
     def sweep(self, df: DataFrame, learners: Sequence[Linear], oof: DataFrame | None = None) -> list[float]:
         """R2 on the training rows of each meta learner, all from one moment matrix."""
-        with kept(oof if oof is not None else self.predict_folds(df)) as table:
+        with nullcontext(oof) if oof is not None else self.out_of_fold(df) as table:
             _, _, wide, features = self._meta_table(table)
             g = collect_gram(wide, [col(c) for c in [*features, SCALED]])[()]
         return [r_squared(g, *learner.solve(g)) for learner in learners]

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import scores
 from ..functions.columns import col
@@ -31,8 +32,9 @@ def side_by_side(work: Sequence[Callable[[], object]], at_once: int = AT_ONCE) -
         return [w() for w in work]
     from pyspark import inheritable_thread_target
 
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(at_once) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(w)) for w in work]]
+        return [f.result() for f in [pool.submit(inherit(w)) for w in work]]
 
 
 def fold_matrices(df: DataFrame, features: Sequence[str], target: str, fold: str) -> dict[int, np.ndarray]:
@@ -94,7 +96,7 @@ def grid_search(df: DataFrame, features: Sequence[str], target: str, alphas: Ite
     schema = T.StructType([*[df.schema[g] for g in groups], *[
         T.StructField(n, T.DoubleType()) for n in ("l1_ratio", "alpha", "neg_mse", "r2")]])
 
-    def line(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def line(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
         ratio, folds = key[-1], [square(flat) for flat in frame.sort_values(fold)["gram"]]
         total, starts, rows = sum(folds), [None] * len(folds), []
         for alpha in falling:
