@@ -30,7 +30,7 @@ class Huber:
             n = vectors.count()
             fitted = LinearRegression(
                 featuresCol="_x", labelCol="_y", loss="huber", epsilon=self.epsilon, regParam=self.alpha / n,
-                elasticNetParam=0.0, standardization=False, maxIter=self.max_iter, tol=1e-9).fit(vectors)
+                elasticNetParam=0.0, standardization=False, maxIter=self.max_iter, tol=1e-6).fit(vectors)
         return LinearFit(features, fitted.intercept, fitted.coefficients.toArray().tolist(), prediction)
 
 

@@ -27,18 +27,20 @@ class Range(NamedTuple):
     low: float
     high: float
     mean: float
+    std: float
     distinct: int
 
 
 def ranges(df: DataFrame, columns: Sequence[str]) -> list[Range]:
-    """Count, extremes, mean and distinct estimate of each column; one aggregate."""
+    """Count, extremes, moments and distinct estimate of each column; one aggregate."""
     aggs = []
     for i, c in enumerate(columns):
         x = col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.avg(x).alias(f"mean{i}"), F.approx_count_distinct(x).alias(f"d{i}")]
+                 F.avg(x).alias(f"mean{i}"), F.stddev_pop(x).alias(f"std{i}"),
+                 F.approx_count_distinct(x).alias(f"d{i}")]
     row = df.agg(*aggs).first()
-    return [Range(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"mean{i}"], row[f"d{i}"])
+    return [Range(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"mean{i}"], row[f"std{i}"], row[f"d{i}"])
             for i in range(len(columns))]
 
 

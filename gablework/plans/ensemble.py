@@ -13,9 +13,9 @@ from ..functions.columns import col, dot, total
 from ..models.gram import collect_gram
 from ..models.linear import Linear, LinearFit
 from ..models.solve import r_squared
-from ..session import kept, small_frame
+from ..session import kept, side_by_side, small_frame
 from ..validation.folds import with_folds
-from ..validation.search import fold_values, side_by_side
+from ..validation.search import fold_values
 from .features import FeaturePlan
 from .regressor import SCALED, TabularRegressor, fit_together, predict_beside
 from .target import TargetTransform

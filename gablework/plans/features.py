@@ -11,7 +11,7 @@ from ..operators import distribution as D
 from ..operators.profile import fit_moments
 from ..operators.transformers import (QUARTILES, RobustScale, _or_one, learn_levels, level_name, place,
                                       quartiles_of, yeo_johnson_value)
-from ..session import kept
+from ..session import kept, side_by_side
 from ..stage import Fitted, Learner, unique
 
 
@@ -54,9 +54,9 @@ class FeaturePlan(Learner):
         scaled = {c: b["scale"] for b in blocks if b["scale"] for c in b["columns"]}
         learned: dict = {}
         with kept(_filled(df, blocks, only=[*encoded, *scaled])) as source:
-            for c, levels in zip(encoded, learn_levels(source, encoded)):
-                learned[c] = {"levels": levels}
-            learned.update(_learn_scales(source, scaled))
+            levels, scales = side_by_side([lambda: learn_levels(source, encoded), lambda: _learn_scales(source, scaled)])
+        learned.update({c: {"levels": v} for c, v in zip(encoded, levels)})
+        learned.update(scales)
         model = FeaturePlanModel(blocks, learned, self["keep"])
         if self["final"] == "robust":
             names = model.feature_names
@@ -100,7 +100,10 @@ def _learn_scales(source: DataFrame, scaled: dict[str, list[str]]) -> dict:
             low, mid, high = quartiles_of(at, (lambda x, lam=lam: yeo_johnson_value(x, lam)) if lam is not None
                                           else (lambda x: x))
             learned[columns[i]].update(center=mid, width=_or_one(high - low))
-    standard = [c for c in columns if "standard" in scaled[c]]
+    for r, c in zip(found, columns):
+        if scaled[c] == ["standard"]:
+            learned[c].update(center=r.mean or 0.0, width=_or_one(r.std))
+    standard = [c for c in columns if scaled[c] == ["yeo_johnson", "standard"]]
     if standard:
         moments = fit_moments(source.select([_power(c, learned[c]).alias(c) for c in standard]), standard)
         for c in standard:

@@ -13,7 +13,7 @@ from ..functions import scores
 from ..functions.columns import col
 from ..models.gram import collect_gram
 from ..models.linear import Linear, LinearFit
-from ..session import kept
+from ..session import kept, side_by_side
 from ..stage import Step
 from .cleaning import CleaningRules
 from .features import CARRIED, FeaturePlan
@@ -46,10 +46,13 @@ class TabularRegressor:
 
     def prepare(self, df: DataFrame):
         """Fitted cleaning, plan and chain, and the wide table with the scaled target."""
-        cleaner = self.cleaning.fit(df) if self.cleaning else None
-        cleaned = cleaner.transform(df) if cleaner else df
-        plan = self.plan.fit(cleaned)
-        chain = TargetTransform(self.target, self.chain, SCALED).fit(df)
+        def features():
+            cleaner = self.cleaning.fit(df) if self.cleaning else None
+            cleaned = cleaner.transform(df) if cleaner else df
+            return cleaner, cleaned, self.plan.fit(cleaned)
+
+        (cleaner, cleaned, plan), chain = side_by_side(
+            [features, lambda: TargetTransform(self.target, self.chain, SCALED).fit(df)])
         return [s for s in (cleaner, plan) if s], chain, chain.transform(plan.transform(cleaned))
 
     def fit(self, df: DataFrame) -> PipelineModel:

@@ -6,16 +6,19 @@ import contextlib
 import sys
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-from pyspark import StorageLevel, cloudpickle
+from pyspark import StorageLevel, cloudpickle, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Rows of a fitted look-up that may live on the driver and be broadcast.
 # Anything larger stays a distributed table.
 LOOKUP_ROWS = 50_000
+# Spark jobs that may run at the same time from one call.
+AT_ONCE = 4
 
 _local_folder: str | None = None
 
@@ -46,6 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_folder(spark))
 
 
+def side_by_side(work: Sequence[Callable[[], object]], at_once: int = AT_ONCE) -> list:
+    """Submit independent jobs from a few threads; results in order."""
+    if len(work) <= 1:
+        return [w() for w in work]
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(inherit(w)) for w in work]]
+
+
 @contextlib.contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame that several eager passes read, and release it after."""

@@ -7,35 +7,19 @@ fitted fold by fold.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import scores
 from ..functions.columns import col
 from ..models.gram import collect_gram, gram, square
 from ..models.linear import Linear
 from ..models.solve import elastic_net, r_squared, ridge, squared_error
-from ..session import kept, runs_in_tasks, small_frame
-
-# Fits that may run at the same time; each is a Spark job of its own.
-AT_ONCE = 4
-
-
-def side_by_side(work: Sequence[Callable[[], object]], at_once: int = AT_ONCE) -> list:
-    """Submit independent jobs from a few threads; results in order."""
-    if len(work) <= 1:
-        return [w() for w in work]
-    from pyspark import inheritable_thread_target
-
-    inherit = inheritable_thread_target(SparkSession.active())
-    with ThreadPoolExecutor(at_once) as pool:
-        return [f.result() for f in [pool.submit(inherit(w)) for w in work]]
-
+from ..session import kept, runs_in_tasks, side_by_side, small_frame
 
 def fold_matrices(df: DataFrame, features: Sequence[str], target: str, fold: str) -> dict[int, np.ndarray]:
     return {k[0]: g for k, g in sorted(
@@ -140,40 +124,37 @@ def search_regressor(regressor, df: DataFrame, grid: Sequence, fold: str, refit_
 def _search(regressor, df: DataFrame, grid: Sequence, fold: str, refit_plan: bool, scoring: str) -> tuple:
     from ..plans.regressor import SCALED
 
-    folds, results = fold_values(df, fold), {i: [] for i in range(len(grid))}
     shared = None if refit_plan else regressor.prepare(df.drop(fold))
-    for f in folds:
+    linear = all(isinstance(learner, Linear) for learner in grid)
+
+    def of_fold(f) -> list[tuple[float, float]]:
         train, held = df.where(col(fold) != F.lit(f)), df.where(col(fold) == F.lit(f))
-        stages, chain, wide_train = regressor.prepare(train) if refit_plan else shared
-        wide_held = held
-        for stage in stages:
-            wide_held = stage.transform(wide_held)
-        wide_held = chain.transform(wide_held)
-        if not refit_plan:
-            wide_train = train
+        stages, chain, _ = shared or regressor.prepare(train)
+
+        def widen(rows):
             for stage in stages:
-                wide_train = stage.transform(wide_train)
-            wide_train = chain.transform(wide_train)
+                rows = stage.transform(rows)
+            return chain.transform(rows)
+
         names = stages[-1].feature_names
         columns = [col(c) for c in [*names, SCALED]]
-        if all(isinstance(learner, Linear) for learner in grid):
-            train_g, held_g = collect_gram(wide_train, columns)[()], collect_gram(wide_held, columns)[()]
-            for i, learner in enumerate(grid):
-                fit = learner.solve(train_g)
-                results[i].append((-squared_error(held_g, *fit), r_squared(held_g, *fit)))
-            continue
-        with kept(wide_train) as rows, kept(wide_held) as rest:
-            def one(learner):
-                y, p = col(SCALED), col("_prediction")
+        if linear:
+            train_g, held_g = (collect_gram(widen(rows), columns)[()] for rows in (train, held))
+            fits = [learner.solve(train_g) for learner in grid]
+            return [(-squared_error(held_g, *fit), r_squared(held_g, *fit)) for fit in fits]
+        y, p, results = col(SCALED), col("_prediction"), []
+        with kept(widen(train)) as rows, kept(widen(held)) as rest:
+            for learner in grid:
                 scored = learner.fit(rows, names, SCALED, "_prediction").transform(rest)
                 row = scored.agg((-scores.mse(y, p)).alias("neg_mse"), scores.r2(y, p).alias("r2")).first()
-                return row["neg_mse"], row["r2"]
-            for i, result in enumerate(side_by_side([lambda m=m: one(m) for m in grid])):
-                results[i].append(result)
+                results.append((row["neg_mse"], row["r2"]))
+        return results
+
+    by_fold = side_by_side([lambda f=f: of_fold(f) for f in fold_values(df, fold)])
     column = 0 if scoring == "neg_mse" else 1
-    means = {i: float(np.mean([r[column] for r in rows])) for i, rows in results.items()}
-    best = max(means, key=lambda i: means[i])
-    return grid[best], means[best], [(grid[i], means[i]) for i in means]
+    means = [float(np.mean([results[i][column] for results in by_fold])) for i in range(len(grid))]
+    best = int(np.argmax(means))
+    return grid[best], means[best], list(zip(grid, means))
 
 
 runs_in_tasks(__name__)
