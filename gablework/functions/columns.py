@@ -14,6 +14,8 @@ from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import text
+
 
 def col(name: str) -> Column:
     """A column by its exact name, whatever characters it holds."""
@@ -114,7 +116,6 @@ def complete_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.where(conjunction([col(n).isNotNull() for n in names]))
 
 
-def dot(columns: Sequence[Column], weights: Sequence[float], intercept: float = 0.0) -> Column:
+def dot(names: Sequence[str], weights: Sequence[float], intercept: float = 0.0) -> Column:
     """intercept + sum of weight * column, skipping zero weights."""
-    terms = [F.lit(float(w)) * c for c, w in zip(columns, weights, strict=True) if w != 0.0]
-    return reduce(add, terms, F.lit(float(intercept)))
+    return F.expr(text.dot(names, weights, intercept))

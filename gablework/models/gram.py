@@ -45,9 +45,9 @@ def gram(df: DataFrame, columns: Sequence[Column], keys: Sequence[str] = (),
     m = len(z) + 1
     if not expand and m * (m + 1) // 2 <= BUILTIN_PRODUCTS:
         narrow = complete_rows(narrow, names)
-        each = [F.lit(1.0), *[F.col(n) for n in names]]
-        sums = [F.sum(each[i] * each[j] if i else each[j]) for i in range(m) for j in range(i, m)]
-        return narrow.groupBy(*[col(k) for k in keys]).agg(F.array(*sums).alias("gram"))
+        each = ["1D", *names]
+        sums = [f"sum({each[i]} * {each[j]})" for i in range(m) for j in range(i, m)]
+        return narrow.groupBy(*[col(k) for k in keys]).agg(F.expr(f"array({', '.join(sums)})").alias("gram"))
     return _numpy_gram(narrow, names, keys, expand)
 
 

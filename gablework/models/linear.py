@@ -34,7 +34,7 @@ class LinearFit(Fitted):
         return dict(zip(self["features"], self["slopes"]))
 
     def expression(self) -> Column:
-        return dot([col(c).cast("double") for c in self["features"]], self["slopes"], self["intercept"])
+        return dot(self["features"], self["slopes"], self["intercept"])
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self["prediction"], self.expression())

@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import text
 from ..functions.columns import col
 from ..session import kept, small_frame
 
@@ -35,10 +36,10 @@ def ranges(df: DataFrame, columns: Sequence[str]) -> list[Range]:
     """Count, extremes, moments and distinct estimate of each column; one aggregate."""
     aggs = []
     for i, c in enumerate(columns):
-        x = col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.avg(x).alias(f"mean{i}"), F.stddev_pop(x).alias(f"std{i}"),
-                 F.approx_count_distinct(x).alias(f"d{i}")]
+        x = f"CAST({text.name(c)} AS DOUBLE)"
+        aggs += [F.expr(f"{f}({x}) AS {name}{i}") for f, name in (
+            ("count", "n"), ("min", "lo"), ("max", "hi"), ("avg", "mean"), ("stddev_pop", "std"),
+            ("approx_count_distinct", "d"))]
     row = df.agg(*aggs).first()
     return [Range(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"mean{i}"], row[f"std{i}"], row[f"d{i}"])
             for i in range(len(columns))]

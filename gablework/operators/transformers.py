@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions import text
 from ..functions.columns import col
 from ..session import rows_within
 from ..stage import Fitted, Learner, unique
@@ -164,15 +165,16 @@ def level_name(column: str, level) -> str:
     return f"{column}_{str(level).lower() if isinstance(level, bool) else level}"
 
 
-def place(column: str, levels: Sequence, unseen: str) -> Column:
-    """Position of a value among the levels from 1; 0 for an unseen or missing one, or an
-    error if so wished."""
+def place(column: str, levels: Sequence, unseen: str, label: str | None = None) -> str:
+    """SQL for the position of a value among the levels from 1; 0 for an unseen or missing
+    one, or an error if so wished."""
     if not levels:
-        return F.lit(0).cast("bigint")
-    found = F.coalesce(F.array_position(F.array(*[F.lit(v) for v in levels]), col(column)), F.lit(0).cast("bigint"))
+        return "0L"
+    c = text.name(column)
+    found = f"coalesce(array_position(array({', '.join(map(text.literal, levels))}), {c}), 0L)"
     if unseen == "error":
-        message = F.concat(F.lit(f"unseen level in {column}: "), F.coalesce(col(column).cast("string"), F.lit("missing")))
-        found = F.when(found == 0, F.raise_error(message).cast("bigint")).otherwise(found)
+        message = f"concat({text.literal(f'unseen level in {label or column}: ')}, coalesce(CAST({c} AS STRING), 'missing'))"
+        found = f"nvl(nullif({found}, 0L), CAST(raise_error({message}) AS BIGINT))"
     return found
 
 
@@ -199,13 +201,13 @@ class OneHotModel(Fitted):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         columns, first = self["columns"], 1 if self["drop"] == "first" else 0
-        others = [col(c) for c in df.columns if c not in columns]
+        others = [text.name(c) for c in df.columns if c not in columns]
         # the position is found once per row and compared once per level
-        placed = df.select(*others, *[place(c, self["levels"][i], self["unseen"]).alias(f"_place{i}")
-                                      for i, c in enumerate(columns)])
-        flags = [(F.col(f"_place{i}") == k + 1 + first).cast("int").alias(name)
-                 for i in range(len(columns)) for k, name in enumerate(self.names(i))]
-        return placed.select(*others, *flags)
+        placed = df.selectExpr(*others, *[text.alias(place(c, self["levels"][i], self["unseen"]), f"_place{i}")
+                                          for i, c in enumerate(columns)])
+        flags = [text.alias(f"CAST(_place{i} = {k + 1 + first} AS INT)", n)
+                 for i in range(len(columns)) for k, n in enumerate(self.names(i))]
+        return placed.selectExpr(*others, *flags)
 
 
 def get_dummies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -60,8 +60,7 @@ def fold_mean(df: DataFrame, models: Sequence[LinearFit], name: str = "predictio
     with the mean coefficients."""
     n = len(models)
     slopes = np.mean([m["slopes"] for m in models], axis=0)
-    return df.withColumn(name, dot([col(c).cast("double") for c in models[0]["features"]], slopes.tolist(),
-                                   sum(m.intercept for m in models) / n))
+    return df.withColumn(name, dot(models[0]["features"], slopes.tolist(), sum(m.intercept for m in models) / n))
 
 
 class Stack:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from ..functions import text
 from ..functions.columns import col
 from ..operators import distribution as D
 from ..operators.profile import fit_moments
@@ -53,7 +54,8 @@ class FeaturePlan(Learner):
         encoded = [c for b in blocks if b["one_hot"] for c in b["columns"]]
         scaled = {c: b["scale"] for b in blocks if b["scale"] for c in b["columns"]}
         learned: dict = {}
-        with kept(_filled(df, blocks, only=[*encoded, *scaled])) as source:
+        filled = _filled_text(df, blocks)
+        with kept(df.selectExpr(*[text.alias(filled[c], c) for c in [*encoded, *scaled]])) as source:
             levels, scales = side_by_side([lambda: learn_levels(source, encoded), lambda: _learn_scales(source, scaled)])
         learned.update({c: {"levels": v} for c, v in zip(encoded, levels)})
         learned.update(scales)
@@ -66,18 +68,15 @@ class FeaturePlan(Learner):
         return model
 
 
-def _filled(df: DataFrame, blocks, only: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    out = [col(c) for c in keep]
+def _filled_text(df: DataFrame, blocks) -> dict[str, str]:
+    """{column: SQL of its filled value}."""
+    types, out = {f.name: f.dataType.simpleString() for f in df.schema.fields}, {}
     for b in blocks:
         for c in b["columns"]:
-            if only is not None and c not in only:
-                continue
             value = b["fill"].get(c) if isinstance(b["fill"], dict) else b["fill"]
-            x = col(c)
-            if value is not None:
-                x = F.coalesce(x, F.lit(value).cast(df.schema[c].dataType))
-            out.append(x.alias(f"_in_{c}" if keep or only is None else c))
-    return df.select(*out) if out else df.limit(0).select()
+            out[c] = text.name(c) if value is None else (
+                f"coalesce({text.name(c)}, CAST({text.literal(value)} AS {types[c]}))")
+    return out
 
 
 def _learn_scales(source: DataFrame, scaled: dict[str, list[str]]) -> dict:
@@ -105,15 +104,20 @@ def _learn_scales(source: DataFrame, scaled: dict[str, list[str]]) -> dict:
             learned[c].update(center=r.mean or 0.0, width=_or_one(r.std))
     standard = [c for c in columns if scaled[c] == ["yeo_johnson", "standard"]]
     if standard:
-        moments = fit_moments(source.select([_power(c, learned[c]).alias(c) for c in standard]), standard)
+        moments = fit_moments(source.selectExpr(*[
+            text.alias(_power(text.name(c), learned[c]["lambda"]), c) for c in standard]), standard)
         for c in standard:
             learned[c].update(center=moments[c][0], width=_or_one(moments[c][1]))
     return learned
 
 
-def _power(c: str, constants: dict, prefix: str = ""):
-    x = col(prefix + c).cast("double")
-    return x if constants["lambda"] is None else D.yeo_johnson(x, F.lit(constants["lambda"]))
+def _power(x: str, lam: float | None) -> str:
+    x = f"CAST({x} AS DOUBLE)"
+    return x if lam is None else text.yeo_johnson(x, lam)
+
+
+def _scaled(x: str, center: float, width: float) -> str:
+    return f"({x} - {text.number(center)}) / {text.number(width)}"
 
 
 class FeaturePlanModel(Fitted):
@@ -135,26 +139,28 @@ class FeaturePlanModel(Fitted):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         blocks, learned, final = self["blocks"], self["learned"], self["final"]
-        keep = [c for c in [*self["keep"], CARRIED] if c in df.columns]
-        filled = _filled(df, blocks, keep=keep)
-        out, first_pass = [col(c) for c in keep], []
+        keep = [text.name(c) for c in [*self["keep"], CARRIED] if c in df.columns]
+        filled, first_pass, out = _filled_text(df, blocks), [], []
         for b in blocks:
             for c in b["columns"]:
+                inner = text.name(f"_in_{c}")
                 if b["one_hot"]:
+                    # the position is found once per row and compared once per level
                     levels, first = learned[c]["levels"], 1 if b["drop"] == "first" else 0
-                    first_pass.append(place(f"_in_{c}", levels, b["unseen"]).alias(f"_in_{c}"))
-                    out += [(col(f"_in_{c}") == k + 1).cast("double").alias(level_name(c, levels[k]))
+                    out += [text.alias(f"CAST({inner} = {k + 1} AS DOUBLE)", level_name(c, levels[k]))
                             for k in range(first, len(levels))]
+                    first_pass.append((c, levels, b["unseen"]))
                     continue
-                first_pass.append(col(f"_in_{c}"))
-                x = col(f"_in_{c}").cast("double")
+                first_pass.append((c, None, None))
+                x = _power(inner, learned[c]["lambda"] if b["scale"] else None)
                 if b["scale"]:
-                    k = learned[c]
-                    x = (_power(c, k, "_in_") - F.lit(k["center"])) / F.lit(k["width"])
-                out.append(x.alias(c))
-        placed = filled.select(*[col(c) for c in keep], *first_pass)
-        wide = placed.select(*out)
+                    x = _scaled(x, learned[c]["center"], learned[c]["width"])
+                out.append(text.alias(x, c))
+        ready = df.selectExpr(*keep, *[text.alias(filled[c], f"_in_{c}") for c, _, _ in first_pass])
+        placed = ready.selectExpr(*keep, *[
+            text.name(f"_in_{c}") if levels is None else text.alias(place(f"_in_{c}", levels, unseen, c), f"_in_{c}")
+            for c, levels, unseen in first_pass])
+        wide = placed.selectExpr(*keep, *out)
         if final:
-            wide = wide.select(*[col(c) for c in keep], *[
-                ((col(n) - F.lit(final[n][0])) / F.lit(final[n][1])).alias(n) for n in self.feature_names])
+            wide = wide.selectExpr(*keep, *[text.alias(_scaled(text.name(n), *final[n]), n) for n in self.feature_names])
         return wide
