@@ -124,6 +124,36 @@ def tree_fit(t: DataFrame) -> DataFrame:
     return predicted(t, trees.fit_tree(t, COMPLETE, Y, depth=6))
 
 
+# The best single cut of one feature, from sums per value.
+STUMP = """
+, cells AS (SELECT overall_qual AS x, count(*)::double AS n, sum(sale_price) AS s FROM listings GROUP BY 1)
+, {name}_cuts AS (
+  SELECT a.x AS cut, sum(b.n) FILTER (b.x <= a.x) AS nl, sum({s}) FILTER (b.x <= a.x) AS sl,
+    sum(b.n) FILTER (b.x > a.x) AS nr, sum({s}) FILTER (b.x > a.x) AS sr FROM cells a, {source} b GROUP BY a.x)
+, {name} AS (SELECT cut, sl / nl AS lo, sr / nr AS hi FROM {name}_cuts WHERE nr > 0
+          ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)
+"""
+FIRST_STUMP = STUMP.format(name="first", s="b.s", source="cells")
+
+
+@query(FIRST_STUMP + """
+SELECT id, round(CASE WHEN overall_qual <= cut THEN lo ELSE hi END, 3) AS prediction FROM listings, first""")
+def tree_stump(t: DataFrame) -> DataFrame:
+    return rounded(predicted(t, trees.fit_tree(t, ["overall_qual"], Y, depth=1)), 3, "prediction")
+
+
+# The second tree is fitted to the slope of the squared error, twice the residual.
+@query(FIRST_STUMP + """
+, rest AS (SELECT x, n, 2 * (s - n * CASE WHEN x <= cut THEN lo ELSE hi END) AS s FROM cells, first)
+""" + STUMP.split("\n", 2)[2].format(name="second", s="b.s", source="rest") + """
+SELECT id, round(CASE WHEN overall_qual <= f.cut THEN f.lo ELSE f.hi END
+  + 0.25::double * CASE WHEN overall_qual <= g.cut THEN g.lo ELSE g.hi END, 3) AS prediction
+FROM listings, first f, second g""")
+def gbt_stumps(t: DataFrame) -> DataFrame:
+    fit = trees.fit_gbt(t, ["overall_qual"], Y, n_trees=2, rate=0.25, depth=1)
+    return rounded(predicted(t, fit), 3, "prediction")
+
+
 @query()
 def rbf_fit(t: DataFrame) -> DataFrame:
     from ..operators.transformers import StandardScale
@@ -189,7 +219,7 @@ def predict_new(t: DataFrame) -> DataFrame:
     return model.predict(t.where(TEST).drop(Y))
 
 
-@query()
+@query("SELECT id, true AS same FROM listings WHERE id % 4 = 0")
 def model_round_trip(t: DataFrame) -> DataFrame:
     """A stored model predicts what it predicted before."""
     before = regressor(presets.ridge()).fit(t.where(TRAIN))
@@ -198,7 +228,7 @@ def model_round_trip(t: DataFrame) -> DataFrame:
     after = load_model(path)
     test = t.where(TEST).drop(Y)
     both = ensemble.predict_beside(after, ensemble.predict_beside(before, test, "before"), "after")
-    return both.select("id", "before", "after", (F.col("before") == F.col("after")).alias("same"))
+    return both.select("id", (F.col("before") == F.col("after")).alias("same"))
 
 
 # --- validation --------------------------------------------------------------
