@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.columns import col
 from ..operators.lookup import LookupModel, freeze
-from .gram import gram, square
+from ..session import LOOKUP_ROWS
+from .gram import HELD_DOUBLES, gram, square
 from .solve import elastic_net, ridge
 
 
@@ -37,7 +38,9 @@ def fit_by_group(df: DataFrame, group: str, features: Sequence[str], target: str
                 rows.append((key, float(g[0, 0]), float(intercept), [float(v) for v in b]))
             yield pd.DataFrame(rows, columns=[group, "n", "intercept", "slopes"])
 
-    return GroupedFit(group, ["intercept", "slopes"], freeze(matrices.mapInPandas(solved, schema)),
+    # a constant of the model only while all coefficients together stay small
+    bound = max(1, min(LOOKUP_ROWS, HELD_DOUBLES // (len(features) + 2)))
+    return GroupedFit(group, ["intercept", "slopes"], freeze(matrices.mapInPandas(solved, schema), bound),
                       features=list(features), prediction=prediction)
 
 

@@ -16,7 +16,7 @@ from .profile import fit_moments
 from .select import text_names
 
 # All levels of all encoded columns together. More than this is no category.
-MOST_LEVELS = 20_000
+MOST_LEVELS = 5_000
 
 
 def _or_one(width: float | None) -> float:
