@@ -43,6 +43,31 @@ class TabularRegressor:
         self.keep, self.prediction = list(keep), prediction
         self.plan = plan.keeping([*self.keep, target])
         self.model: PipelineModel | None = None
+        self._best: tuple | None = None
+
+    def search(self, df: DataFrame, grid: Sequence, fold: str = "fold", refit_plan: bool = True,
+               scoring: str = "neg_mse") -> TabularRegressor:
+        """Try every learner of the grid by cross-validation and take the best one; fit
+        afterwards."""
+        from ..validation.search import search_regressor
+
+        self._best = search_regressor(self, df, grid, fold, refit_plan, scoring)
+        self.learner = self._best[0]
+        return self
+
+    def _searched(self) -> tuple:
+        if self._best is None:
+            raise ValueError("search first")
+        return self._best
+
+    @property
+    def best_learner(self):
+        """The learner with the best mean score, with its parameters."""
+        return self._searched()[0]
+
+    @property
+    def best_score(self) -> float:
+        return self._searched()[1]
 
     def prepare(self, df: DataFrame):
         """Fitted cleaning, plan and chain, and the wide table with the scaled target."""
