@@ -97,3 +97,25 @@ def test_wide_correlations_equal_builtin(t):
 
 def test_histogram_counts_every_row(t):
     assert profile.histogram(t, "liv_area", 50).agg(F.sum("n_rows")).first()[0] == t.count()
+
+
+def kurtosis_z(x):
+    """Anscombe and Glynn, written out again in plain Python."""
+    n = len(x)
+    m = np.mean(x)
+    b2 = np.mean((x - m) ** 4) / np.mean((x - m) ** 2) ** 2
+    scaled = (b2 - 3 * (n - 1) / (n + 1)) / math.sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5)))
+    s = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * math.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
+    a = 6 + 8 / s * (2 / s + math.sqrt(1 + 4 / s ** 2))
+    return (1 - 2 / (9 * a) - ((1 - 2 / a) / (1 + scaled * math.sqrt(2 / (a - 4)))) ** (1 / 3)) / math.sqrt(2 / (9 * a))
+
+
+def test_normality_statistic_at_published_values(spark):
+    # the kurtosis part of 0..19 is -1.70581, its skewness is 0; the skewness part of the second is 0.446264
+    for values, skew_part in ((list(range(20)), 0.0), ([2, 8, 0, 4, 1, 9, 9, 0], 0.44626385374196975)):
+        df = spark.createDataFrame([(float(v),) for v in values], "x double")
+        row = profile.normal_test(df, ["x"]).first()
+        z = kurtosis_z(np.array(values, dtype=float))
+        assert abs(row["statistic"] - z * z - skew_part ** 2) < 1e-6
+        assert abs(row["p_value"] - math.exp(-row["statistic"] / 2)) < 1e-9
+    assert abs(kurtosis_z(np.arange(20.0)) + 1.7058104152122062) < 1e-9
