@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, sentencepiece_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,6 +16,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the vocabulary files of public tokenizers lie on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(sql: str | None = None):
     """Register ``fn(spark, folder)`` under its own name."""
     def register(fn):
@@ -33,6 +40,12 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("_copy").alias("copy"))
 
 
+@query()
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_codec.encoded_digests(
+        table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"), keep=["doc_id"])
+
+
 @query("""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
