@@ -20,8 +20,12 @@ from gablework.session import fresh_path
 
 from .common import stored, text_or_empty
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The state on disk; without reserving megabytes ahead for each partition's small files.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: A micro-batch takes about this much of the digest table; the state, not the batch, spans the corpus.
 BATCH_BYTES = 64 << 30
 
@@ -44,8 +48,9 @@ def located(docs: DataFrame) -> DataFrame:
 
 def feed(digests: str, schema, state: str, spark: SparkSession) -> None:
     """Run everything that is new under ``digests`` through the state kept in ``state``."""
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(digests)
         groups = stream.groupBy("digest").agg(
@@ -53,7 +58,8 @@ def feed(digests: str, schema, state: str, spark: SparkSession) -> None:
         (groups.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
          .option("checkpointLocation", state).start().awaitTermination())
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def kept_by_digest(state: str, spark: SparkSession) -> DataFrame:
@@ -84,7 +90,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     held = stored(kept_by_digest(state, spark), "exact-held")
 
     texts = rows.select(digest(body).alias("digest"), F.col(id_col).alias("id"), "_file", "_row", body.alias("body"))
-    hits = texts.join(held.filter("n > 1"), "digest")
+    hits = stored(texts.join(held.filter("n > 1"), "digest"), "exact-hits")
     place = F.struct("id", "_file", "_row")
     first = hits.filter(place == F.col("keep")).select("digest", F.col("body").alias("kept_body"))
     unlike = (hits.filter(place != F.col("keep")).join(first, "digest")
