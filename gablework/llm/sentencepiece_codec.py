@@ -239,8 +239,13 @@ def utf8(raw: bytes | bytearray) -> str:
     return "".join(out)
 
 
-def _codec(shared) -> Codec:
-    return worker_cached(("sentencepiece", shared.id), lambda: Codec(shared.value))
+def _shared(docs: DataFrame, model: str):
+    """A function for tasks that gives the worker's codec. What is broadcast is one vocabulary."""
+    tables = read_model(model)
+    key = "sentencepiece", hash(tuple(tables["pieces"]))
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    in_batches(docs.sparkSession)
+    return lambda: worker_cached(key, lambda: Codec(shared.value))
 
 
 def encode(docs: DataFrame, model: str, text_col: str = "text", ids: str = "ids") -> DataFrame:
@@ -255,18 +260,17 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids: str = "ids"
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with the text of a column of ids; missing ids give a missing text."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_model(model))  # size of one vocabulary
-    in_batches(docs.sparkSession)
+    codec_of_worker = _shared(docs, model)
     plain = docs.drop(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = codec_of_worker()
         for batch in batches:
             found = [None if x is None else codec.decode(x) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())],
                                              [*batch.schema.names, text_col])
 
-    return plain.mapInArrow(run, plain.schema.add(text_col, "string"))
+    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField(text_col, T.StringType())]))
 
 
 def encoded_digests(docs: DataFrame, model: str, text_col: str = "text",
@@ -278,8 +282,7 @@ def encoded_digests(docs: DataFrame, model: str, text_col: str = "text",
 
 
 def _mapped(docs: DataFrame, model: str, text_col: str, added: list, of, keep: list[str] | None = None) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(read_model(model))  # size of one vocabulary
-    in_batches(docs.sparkSession)
+    codec_of_worker = _shared(docs, model)
     new = {name for name, _, _ in added}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     schema = docs.select(*keep).schema
@@ -288,7 +291,7 @@ def _mapped(docs: DataFrame, model: str, text_col: str, added: list, of, keep: l
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = codec_of_worker()
         for batch in batches:
             found = [of(codec, text or "") for text in batch.column("_encoded").to_pylist()]
             columns = list(zip(*found)) or [()] * len(added)
