@@ -13,6 +13,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import stored
+
 #: Means above this are summed from equal parts, as exp(-mean) would vanish.
 LARGEST_PART = 256.0
 HEX = 13  # hexadecimal digits of a hash that make a uniform number: 52 bits
@@ -83,7 +85,8 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, f
     (1, 2, ...); rows are dealt by a hash of seed, id, text and copy, and lie in that order.
     Repeated rows get equal counts. An empty table gives an empty one.
     """
-    rate = rates(docs, source, text, weights, flatten, epochs)
+    # Stored, so that its size is known: it is broadcast while small, else joined without a hint.
+    rate = stored(rates(docs, source, text, weights, flatten, epochs), "mixing-rates")
     key = [F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")))]
     counted = (docs.join(rate, F.col(source).eqNullSafe(F.col("_source")))
                .withColumn("_n", copies(seed, key, F.col("_rate"))).filter("_n > 0"))
