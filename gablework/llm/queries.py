@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, sentencepiece_codec
+from . import exact_dedup, fingerprints, mixing, sentencepiece_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,8 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, folder, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
                          F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query(fingerprints.edited_sql())
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
