@@ -94,8 +94,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     place = F.struct("id", "_file", "_row")
     first = hits.filter(place == F.col("keep")).select("digest", F.col("body").alias("kept_body"))
     unlike = (hits.filter(place != F.col("keep")).join(first, "digest")
-              .filter(F.col("body") != F.col("kept_body")).select("digest").distinct())
-    unlike = stored(unlike, "exact-unlike")
+              .filter(F.col("body") != F.col("kept_body")).select("digest"))
+    # Stored before distinct(), which would keep the join from splitting a hot digest.
+    unlike = stored(unlike, "exact-unlike").distinct()
 
     def result(rows_with_group: DataFrame) -> DataFrame:
         return rows_with_group.select(
