@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable
@@ -49,3 +50,10 @@ def worker_cached(key: object, build: Callable[[], object]) -> object:
     if key not in tables:
         tables[key] = build()
     return tables[key]
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished frames that nothing refers to any more;
+    it does so only when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, fingerprints, mixing, sentencepiece_codec
+from . import exact_dedup, fingerprints, mixing, sentencepiece_codec, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(mixing.mix_sql())
 def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Every document by its number of copies, sources flattened by the square root of their size."""
