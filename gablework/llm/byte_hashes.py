@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,3 +98,45 @@ def cut(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         j = max(j, i + 1)
         yield i, j
         i = j
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, rolling: Rolling, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts whose words are parted by single blanks, and where each text's words begin.
+
+    Texts longer than ``most`` are cut at blanks; ``rolling`` covers twice ``most``, and a longer word is hashed whole.
+    """
+    found: list[np.ndarray] = []
+    counts = np.zeros(len(offsets) - 1, np.int64)
+    for i, j in cut(offsets, most):
+        start, stop = int(offsets[i]), int(offsets[j])
+        while start < stop:
+            end = stop
+            if end - start > most:  # one long text: up to a blank
+                blanks = np.flatnonzero(data[start:start + most] == 32)
+                if len(blanks):
+                    end = start + int(blanks[-1]) + 1
+                else:
+                    later = np.flatnonzero(data[start + most:stop] == 32)
+                    end = start + most + int(later[0]) + 1 if len(later) else stop
+            part = data[start:end]
+            gap = part == 32
+            first = ~gap
+            first[1:] &= gap[:-1]
+            edges = offsets[i:j + 1] - start if end == stop and start == offsets[i] else np.array([0, end - start])
+            inner = edges[1:-1]
+            inner = inner[(inner > 0) & (inner < len(part))]
+            first[inner] = ~gap[inner]
+            begins = np.flatnonzero(first)
+            bounds = np.union1d(np.flatnonzero(gap), np.append(inner, len(part)))
+            ends = bounds[np.searchsorted(bounds, begins, side="right")] if len(begins) else begins
+            if len(begins):
+                if int((ends - begins).max()) > 2 * most or len(part) > 2 * most:
+                    found.append(np.array([int.from_bytes(hashlib.blake2b(part[a:b].tobytes(), digest_size=8).digest(), "little")
+                                           for a, b in zip(begins, ends)], np.uint64))
+                else:
+                    found.append(rolling.of(rolling.sums(part), begins, ends))
+                owner = np.searchsorted(offsets, begins + start, side="right") - 1
+                np.add.at(counts, owner, 1)
+            start = end
+    words = np.concatenate(found) if found else np.zeros(0, np.uint64)
+    return words, np.append(0, np.cumsum(counts))

@@ -7,6 +7,7 @@ import sys
 import types
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gablework.session import fresh_path
@@ -35,6 +36,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def located(docs: DataFrame) -> DataFrame:
+    """Add ``_file`` and ``_row``, where each row lies. A frame that is no plain scan of files is
+    written to the shared folder first."""
+    if {"_file", "_row"} <= set(docs.columns):
+        return docs
+    places = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    try:
+        return docs.withColumns(places)
+    except AnalysisException:
+        return stored(docs, "located").withColumns(places)
+
+
 def in_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the records that one Arrow batch holds, since a record can be a very long text."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

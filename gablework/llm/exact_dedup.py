@@ -13,12 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gablework.session import fresh_path
 
-from .common import stored, text_or_empty
+from .common import located, stored, text_or_empty
 
 #: The state on disk; without reserving megabytes ahead for each partition's small files.
 SETTINGS = {
@@ -34,18 +33,6 @@ def sha256_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """Add ``_file`` and ``_row``, where each row lies. A frame that is no plain scan of files is
-    written to the shared folder first."""
-    if {"_file", "_row"} <= set(docs.columns):
-        return docs
-    places = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
-    try:
-        return docs.withColumns(places)
-    except AnalysisException:
-        return stored(docs, "exact-docs").withColumns(places)
-
-
 def feed(digests: str, schema, state: str, spark: SparkSession) -> None:
     """Run everything that is new under ``digests`` through the state kept in ``state``."""
     before = {name: spark.conf.get(name, None) for name in SETTINGS}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, fingerprints, mixing, sentencepiece_codec, suffix_dedup
+from . import exact_dedup, fingerprints, mixing, near_dedup, sentencepiece_codec, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,12 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("_copy").alias("copy"))
 
 
+@query()
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    classes = near_dedup.near_classes(table(spark, folder, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
+
+
 @query()
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.encoded_digests(
