@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, fingerprints, mixing, near_dedup, sentencepiece_codec, suffix_dedup
+from . import exact_dedup, fingerprints, language, mixing, near_dedup, sentencepiece_codec, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,13 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("_copy").alias("copy"))
 
 
+@query()
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", language.held_out())
+    model = language.fit(docs.filter("not held_out"))
+    return language.identify(docs, model, keep=["doc_id", "held_out"])
+
+
 @query()
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     classes = near_dedup.near_classes(table(spark, folder, "documents"))
