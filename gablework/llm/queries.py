@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, fingerprints, language, mixing, near_dedup, sentencepiece_codec, suffix_dedup
+from . import (exact_dedup, fingerprints, language, licenses, mixing, near_dedup, sentencepiece_codec, suffix_dedup,
+               token_counts, warc_audit)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +47,14 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("_copy").alias("copy"))
 
 
+@query()
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = licenses.scan(docs, licenses.fit(docs), keep=["doc_id"])
+    families = F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["family"]))), ",")
+    return found.select("doc_id", "n_paragraphs", F.size("matches").alias("n_matches"), families.alias("families"), "matches")
+
+
 @query()
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", language.held_out())
@@ -75,6 +84,36 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query("""
+WITH bodies AS (
+  SELECT page_id, coalesce(url, '') AS u, coalesce(html, '') AS b,
+    CASE WHEN page_id % 101 = 7 THEN NULL
+      WHEN page_id % 97 = 5 THEN substr(coalesce(html, ''), 1, length(coalesce(html, '')) // 2) ELSE coalesce(html, '') END AS r
+  FROM pages),
+records AS (
+  SELECT page_id, 'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:md5:' || md5(u || ' ' || b) || '>' || e
+    || 'WARC-Target-URI: ' || u || e || 'Content-Type: text/html' || e || 'Content-Length: ' || strlen(b)::varchar || e || e || b || e || e AS w,
+    r IS NULL AS lost, r <> b AS cut FROM bodies, (SELECT chr(13) || chr(10) AS e))
+SELECT page_id, strlen(w) AS n_bytes, sha256(w) AS record_sha256,
+  CASE WHEN lost THEN 'missing' WHEN cut THEN 'changed' ELSE 'ok' END AS status FROM records""")
+def op8_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as WARC records beside a replica in which one page of 97 is cut in half and one of 101 is lost."""
+    body = F.coalesce("html", F.lit(""))
+    damaged = (F.when(F.col("page_id") % 101 == 7, F.lit(None))
+               .when(F.col("page_id") % 97 == 5, F.expr("substring(coalesce(html, ''), 1, int(length(coalesce(html, '')) div 2))"))
+               .otherwise(body))
+    records = warc_audit.stored(warc_audit.archive(table(spark, folder, "pages"), replica_body=damaged), "warc-records")
+    replica = records.filter("replica_digest is not null").select("leaf", F.col("replica_digest").alias("digest"))
+    return warc_audit.audit(records, replica).select(
+        F.col("id").alias("page_id"), "n_bytes", F.col("digest").alias("record_sha256"), "status")
+
+
+@query()
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = token_counts.read_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
+    return token_counts.count_tokens(table(spark, folder, "documents"), pieces, keep=["doc_id"])
+
+
 @query(fingerprints.edited_sql())
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
