@@ -24,7 +24,7 @@ from .common import in_batches, worker_cached
 
 BLANK = "▁"
 #: Words kept in a worker's memo, and the longest of them.
-MEMO_WORDS, MEMO_LENGTH = 200_000, 64
+MEMO_WORDS, MEMO_LENGTH = 400_000, 64
 #: Characters whose matches are found at a time, in texts without a blank.
 BLOCK = 1024
 
@@ -100,8 +100,10 @@ class Codec:
             inside = "".join(map(re.escape, sorted(joined - {BLANK})))
             self.cut = re.compile(f"{BLANK}*[{inside}]+|{BLANK}+|[^{inside}{BLANK}]").findall
         self.fits: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, tuple[str, str]] = {}
-        self.older: dict[str, tuple[str, str]] = {}
+        self.memo: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.digits = {i: f"{i} " for i in (*self.piece, *self.byte_of)}
+        self.changed = False
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging the joined text of two pieces gives the two pieces again."""
@@ -183,6 +185,8 @@ class Codec:
         """The text of ids; control ids have none, and the blank put before a text goes."""
         out: list[str] = []
         raw = bytearray()
+        if self.byte_of.keys().isdisjoint(ids):
+            out, ids = [self.piece.get(i, "") for i in ids], []
         for i in ids:
             if i in self.byte_of:
                 raw.append(self.byte_of[i])
@@ -196,12 +200,15 @@ class Codec:
         text = "".join(out).replace(BLANK, " ")
         return text[1:] if start and self.prefix and text.startswith(" ") else text
 
-    def known_part(self, part: str) -> tuple[str, str]:
-        """Ids of a part, each with a blank behind, and the text that they decode to."""
+    def written(self, part: str) -> str:
+        """The ids of a part, each with a blank behind; remembered if they decode to the part."""
         found = self.older.get(part)
         if found is None:
             ids = self.encode_part(part)
-            found = "".join([f"{i} " for i in ids]), self.decode(ids, start=False)
+            found = "".join([self.digits[i] for i in ids])
+            if self.decode(ids, start=False) != part.replace(BLANK, " "):
+                self.changed = True
+                return found
         if len(part) <= MEMO_LENGTH:
             if len(self.memo) >= MEMO_WORDS:  # words not met again for two such spans are forgotten
                 self.older, self.memo = self.memo, {}
@@ -209,12 +216,17 @@ class Codec:
         return found
 
     def digests(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, hash of the written ids, hash of the decoded text."""
-        rows = [self.memo.get(part) or self.known_part(part) for part in self.parts(text)]
-        ids = "".join([r[0] for r in rows]) + str(self.end)
-        back = "".join([r[1] for r in rows])
-        if self.prefix and back.startswith(" "):
-            back = back[1:]
+        """Number of ids, hash of the written ids, hash of the text that they decode to.
+
+        Ids decode part by part, and each different part is decoded when it is first met; so the text is
+        put together again from its parts unless one of them comes back changed.
+        """
+        self.changed = False
+        ids = "".join([self.memo.get(part) or self.written(part) for part in self.parts(text)]) + str(self.end)
+        if self.changed:
+            back = self.decode([int(i) for i in ids.split()])
+        else:
+            back = text.replace(BLANK, " ")
         return ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
 
 
