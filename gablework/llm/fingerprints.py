@@ -68,31 +68,38 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
                     *(lane(1 + LANE_HEX * LANES + CELL_HEX * i, CELL_HEX, CELL_MOD) for i in range(LEVELS * CELLS)))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: the share of used cells that agree, over the levels where some cells are free; 1 for equal
-    fingerprints. Levels are taken from the first with free cells on; if none has any, all cells count."""
+def with_likeness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add a likeness (0 to 1) for each pair of fingerprint columns: the share of used cells that agree, over
+    the levels where some cells are free, or over all if none has any; 1 for equal fingerprints."""
     none = "0" * CELL_HEX
 
-    def cell(f: Column, level: Column, c: int) -> Column:
-        return F.substring(f, F.lit(1 + LANE_HEX * LANES) + (level * CELLS + c) * CELL_HEX, F.lit(CELL_HEX))
+    def cell(f: str, c: int) -> Column:
+        return F.substring(f, 1 + LANE_HEX * LANES + CELL_HEX * c, CELL_HEX)
 
-    def counts(level: Column) -> Column:
-        used = sum((((cell(a, level, c) != none) | (cell(b, level, c) != none)).cast("int") for c in range(CELLS)), F.lit(0))
-        same = sum((((cell(a, level, c) != none) & (cell(a, level, c) == cell(b, level, c))).cast("int")
-                    for c in range(CELLS)), F.lit(0))
-        return F.struct(used.alias("used"), same.alias("same"))
+    def levels_of(count) -> Column:
+        return F.array(*(sum((count(level * CELLS + c).cast("int") for c in range(CELLS)), F.lit(0)) for level in range(LEVELS)))
 
-    levels = F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), counts)
-    open_levels = F.filter(levels, lambda x: x["used"] <= OPEN_CELLS)
-    chosen = F.when(F.exists(open_levels, lambda x: x["used"] > 0), open_levels).otherwise(levels)
+    counted = {}
+    for name, (a, b) in pairs.items():
+        counted[f"_used_{name}"] = levels_of(lambda c: (cell(a, c) != none) | (cell(b, c) != none))
+        counted[f"_same_{name}"] = levels_of(lambda c: (cell(a, c) != none) & (cell(a, c) == cell(b, c)))
+    df = df.withColumns(counted)
 
-    def total(of: Column, name: str) -> Column:
-        return F.aggregate(of, F.lit(0), lambda s, x: s + x[name])
+    def total(of: Column, used: Column, only_open: bool) -> Column:
+        kept = F.zip_with(of, used, lambda x, u: F.when(u <= OPEN_CELLS, x).otherwise(0)) if only_open else of
+        return F.aggregate(kept, F.lit(0), lambda s, x: s + x)
 
-    def share(of: Column) -> Column:
-        return F.round(F.try_divide(total(of, "same"), total(of, "used")), 6)
-
-    return F.when(a == b, 1.0).otherwise(F.coalesce(share(chosen), F.lit(0.0)))
+    sums = {}
+    for name in pairs:
+        used, same = F.col(f"_used_{name}"), F.col(f"_same_{name}")
+        for only_open in (True, False):
+            sums[f"_u{only_open}_{name}"] = total(used, used, only_open)
+            sums[f"_s{only_open}_{name}"] = total(same, used, only_open)
+    df = df.withColumns(sums)
+    return df.withColumns({name: F.when(F.col(a) == F.col(b), 1.0).otherwise(F.coalesce(F.round(
+        F.when(F.col(f"_uTrue_{name}") > 0, F.try_divide(F.col(f"_sTrue_{name}"), F.col(f"_uTrue_{name}")))
+        .otherwise(F.try_divide(F.col(f"_sFalse_{name}"), F.col(f"_uFalse_{name}"))), 6), F.lit(0.0)))
+        for name, (a, b) in pairs.items()}).drop(*counted, *sums)
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
@@ -167,11 +174,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     .join(hashes, ["_id", "_h"]), "fingerprint-prints")
     following = (prints.join(before, ["_id", "_h"])
                  .select(F.col("p_id").alias("_id"), F.col("p_h").alias("_h"), F.col("fingerprint").alias("_next")))
-    return (prints.join(following, ["_id", "_h"]).join(keys, ["_id", "_h"])
-            .withColumn("_repeat", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
-            .select(F.col("_given").alias(id_col), F.col("chars").alias("n_chars"), "edited_sha256", "fingerprint",
-                    "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                    likeness(F.col("fingerprint"), F.col("_next")).alias("near_next")))
+    rows = (prints.join(following, ["_id", "_h"]).join(keys, ["_id", "_h"])
+            .withColumn("_repeat", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))))
+    near = with_likeness(rows, {"near_edited": ("fingerprint", "edited_fingerprint"), "near_next": ("fingerprint", "_next")})
+    return near.select(F.col("_given").alias(id_col), F.col("chars").alias("n_chars"), "edited_sha256", "fingerprint",
+                       "edited_fingerprint", "near_edited", "near_next")
 
 
 def edited_sql() -> str:
