@@ -36,6 +36,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that one computation writes on its way, deleted together once its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        """Write and reread like ``stored``, and let Spark drop the shuffle files behind it."""
+        path = fresh_path(self.spark, label)
+        df.write.parquet(path)
+        self.paths.append(path)
+        release(self.spark)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def delete(self) -> None:
+        """Delete all tables; frames that read them can't be used any more."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        self.paths = []
+
+
 def located(docs: DataFrame) -> DataFrame:
     """Add ``_file`` and ``_row``, where each row lies. A frame that is no plain scan of files is
     written to the shared folder first."""
@@ -48,6 +71,14 @@ def located(docs: DataFrame) -> DataFrame:
         return stored(docs, "located").withColumns(places)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have: ``name`` with as many more underscores as it takes."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def in_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the records that one Arrow batch holds, since a record can be a very long text."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

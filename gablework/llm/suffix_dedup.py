@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .byte_hashes import Rolling, cut, gram_hashes, mixed, sliding_min, text_bytes
-from .common import in_batches, release, row_key, stored, text_or_empty, worker_cached
+from .common import Scratch, in_batches, release, row_key, stored, text_or_empty, worker_cached
 
 WINDOW = 200
 DOUBLINGS = 5
@@ -173,15 +173,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """_id, _h, spans (array of start, stop in bytes): where windows lie that also begin somewhere else.
     ``docs`` has _id, _h and _text. Spans of a text may overlap."""
     spark = docs.sparkSession
+    # Counts are written before they are joined back: a join of plain shuffles can split a hot key.
+    scratch = Scratch(spark)
     rows = anchors(docs, window)
-    often = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("g")
-    shared = stored(rows.join(often, "g"), "suffix-anchors")
-    release(spark)
+    often = scratch.keep(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("g"), "suffix-often")
+    shared = scratch.keep(rows.join(often, "g"), "suffix-anchors")
 
     place = F.struct("_id", "_h", "lo", "de")
-    classes = stored(shared.groupBy("g", "s").agg(F.count(F.lit(1)).alias("w"), F.min(place).alias("at")),
-                     "suffix-runs")
-    mixed_groups = classes.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("g")
+    classes = scratch.keep(shared.groupBy("g", "s").agg(F.count(F.lit(1)).alias("w"), F.min(place).alias("at")),
+                           "suffix-runs")
+    mixed_groups = scratch.keep(classes.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("g"),
+                                "suffix-mixed")
     wanted = (classes.join(mixed_groups, "g").select("at._id", "at._h", F.struct("g", "s", "w", "at.lo", "at.de").alias("r"))
               .groupBy("_id", "_h").agg(F.collect_list("r").alias("wanted")))  # as long as the text at most
     runs = (docs.join(wanted, ["_id", "_h"])
@@ -189,17 +191,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             .select(F.explode(F.expr(
                 "transform(wanted, r -> struct(r.g as g, r.s as s, r.w as w, r.de as de, "
                 f"substring(b, int(r.lo + 1), int((r.de & 4294967295) + {window})) as bytes))")).alias("r")).select("r.*"))
-    runs = stored(runs, "suffix-bytes")
-    release(spark)
+    runs = scratch.keep(runs, "suffix-bytes")
 
     parts = cores(runs, window)
-    groups = (parts.groupBy("c1", "c2").agg(F.sum("w").alias("all"), F.min("o").alias("o1"), F.max("o").alias("o2"))
-              .filter("all > 1").select("c1", "c2", (F.col("o1") != F.col("o2")).alias("split")))
-    met = stored(parts.join(groups, ["c1", "c2"]).select("g", "s", "w", "a_from", "a_to", "split"), "suffix-cores")
-    release(spark)
+    groups = parts.groupBy("c1", "c2").agg(F.sum("w").alias("all"), F.min("o").alias("o1"), F.max("o").alias("o2"))
+    groups = scratch.keep(groups.filter("all > 1").select("c1", "c2", (F.col("o1") != F.col("o2")).alias("split")),
+                          "suffix-groups")
+    met = scratch.keep(parts.drop("o").join(groups, ["c1", "c2"]).select("g", "s", "w", "a_from", "a_to", "split"),
+                       "suffix-cores")
     open_parts = met.filter("split").groupBy("g", "s").agg(F.collect_list(F.struct("a_from", "a_to")).alias("parts"))
     fine = windows(runs.join(open_parts, ["g", "s"]), window)
-    twice = fine.groupBy("x1", "x2").agg(F.sum("w").alias("all")).filter("all > 1").select("x1", "x2")
+    twice = scratch.keep(fine.groupBy("x1", "x2").agg(F.sum("w").alias("all")).filter("all > 1").select("x1", "x2"),
+                         "suffix-windows")
     found = fine.filter("w = 1").join(twice, ["x1", "x2"]).select("g", "s", F.col("a").alias("a_from"), F.col("a").alias("a_to"))
     single = (met.filter("not split and w = 1").select("g", "s", "a_from", "a_to").unionByName(found)
               .groupBy("g", "s").agg(F.collect_list(F.struct("a_from", "a_to")).alias("parts"))  # 169 at most
@@ -212,6 +215,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                    f"lo + (de & 4294967295) + {window}").alias("stop")).alias("span")))
     spans = stored(single.unionByName(several).groupBy("_id", "_h").agg(F.collect_list("span").alias("spans")),
                    "suffix-spans")
+    scratch.delete()
     release(spark)
     return spans
 
