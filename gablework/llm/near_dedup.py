@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .byte_hashes import Rolling, mixed, text_bytes, word_hashes
-from .common import in_batches, located, release, stored, text_or_empty, worker_cached
+from .common import Scratch, in_batches, located, release, stored, text_or_empty, worker_cached
 from .components import components
 
 SHINGLE = 5
@@ -152,7 +152,7 @@ def signed(docs: DataFrame) -> DataFrame:
         "node", F.monotonically_increasing_id())
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
+def candidates(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of nodes that share a bucket with b at one end of the bucket's shuffled order."""
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
         b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
@@ -161,6 +161,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     ends = (rows.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(shuffle)).alias("low"),
                                      F.max(F.col("node").bitwiseXOR(shuffle)).alias("high"))
             .filter("low <> high"))
+    ends = scratch.keep(ends, "near-buckets")  # written first, so that the join can split a hot bucket
     met = rows.join(ends, "band")
     ends_of = F.array(*(F.col(end).bitwiseXOR(shuffle) for end in ("low", "high")))
     return (met.select("node", F.explode(ends_of).alias("other")).filter("node <> other")
@@ -216,21 +217,19 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     rows = located(docs).select(F.col(id_col).alias("id"), F.xxhash64("_file").alias("_f"), "_row",
                                 words(text_or_empty(text_col)).alias("_words"))
-    table = stored(signed(rows), "near-signatures")
+    scratch = Scratch(spark)
+    table = scratch.keep(signed(rows), "near-signatures")
     heads = table.filter("n > 0").groupBy("h1", "h2").agg(F.min("node").alias("head"))
-    nodes = stored(table.join(heads, F.col("node") == F.col("head"), "left_semi").filter("n > 0"), "near-nodes")
-    pairs = stored(candidates(nodes.select("node", "sig")), "near-candidates")
-    release(spark)
-    likely = stored(judged(pairs, nodes.select("node", "sig")), "near-judged")
-    release(spark)
+    nodes = scratch.keep(table.join(heads, F.col("node") == F.col("head"), "left_semi").filter("n > 0"), "near-nodes")
+    pairs = scratch.keep(candidates(nodes.select("node", "sig"), scratch), "near-candidates")
+    likely = scratch.keep(judged(pairs, nodes.select("node", "sig")), "near-judged")
     sure = likely.filter(F.col("alike") >= similarity + DOUBT).select("a", "b")
     open_pairs = likely.filter((F.col("alike") < similarity + DOUBT) & (F.col("alike") >= similarity - DOUBT))
     open_nodes = open_pairs.select(F.col("a").alias("node")).union(open_pairs.select("b")).distinct()
-    texts = stored(rows.join(nodes.join(open_nodes, "node").select("node", "_f", "_row"), ["_f", "_row"])
+    texts = scratch.keep(rows.join(nodes.join(open_nodes, "node").select("node", "_f", "_row"), ["_f", "_row"])
                    .select("node", "_words"), "near-texts")
     exact = weighted_jaccard(open_pairs.select("a", "b"), texts).filter(F.col("similarity") >= similarity)
     links = stored(sure.union(exact.select("a", "b")), "near-links")
-    release(spark)
     labels = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("n_links"))
 
@@ -242,6 +241,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     worded = in_class.filter("n > 0").join(heads, ["h1", "h2"]).select("id", "_f", "_row", "label", "n_links")
     alone = in_class.filter("n = 0").select("id", "_f", "_row", (-1 - F.col("node")).alias("label"), F.lit(0).cast("long").alias("n_links"))
     labelled = stored(worded.union(alone), "near-labelled")
+    scratch.delete()
+    release(spark)
     classes = labelled.groupBy("label").agg(F.min(F.struct("id", "_f", "_row")).alias("keep"), F.count(F.lit(1)).alias("class_size"))
     return labelled.join(classes, "label").select(
         "id", F.col("keep.id").alias("class_id"), "class_size", "n_links",
