@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .byte_hashes import text_bytes
-from .common import in_batches, stored
+from .common import in_batches, stored, unused
 
 DIMENSIONS = 4096
 CENTROIDS = 3
@@ -176,8 +176,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                          np.array([r.floors for r in learned]).reshape(len(learned), SIZES), idf)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with lang_pred, score (cosine, 0 to 1) and rejected.
+def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None,
+             names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with lang_pred, score (cosine, 0 to 1) and rejected, or as ``names`` says.
 
     The whole text is used, and nothing else of the row. A missing text or one without a letter is ``und``, scored 0 and
     rejected; so are all if the model has no language. A text rejected for its distance still names its nearest language.
@@ -185,22 +186,23 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the number of languages
     in_batches(docs.sparkSession)
-    new = {"lang_pred": T.StringType(), "score": T.DoubleType(), "rejected": T.BooleanType()}
+    new = dict(zip(names, (T.StringType(), T.DoubleType(), T.BooleanType())))
+    lower = unused(docs, "_lower")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    plain = docs.select(*keep, F.when(has_letter(F.col(text_col)), F.lower(F.col(text_col))).otherwise("").alias("_lower"))
+    plain = docs.select(*keep, F.when(has_letter(F.col(text_col)), F.lower(F.col(text_col))).otherwise("").alias(lower))
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, t) for n, t in new.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            data, offsets = text_bytes(batch.column("_lower"))
+            data, offsets = text_bytes(batch.column(lower))
             known = (np.diff(offsets) > 0) & (len(model.languages) > 0)
-            names, score, rejected = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
+            found, score, rejected = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
             if known.any():
                 best, cosine, far = model.nearest(gram_counts(data, offsets))
-                names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+                found = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
                 score, rejected = np.where(known, cosine, 0.0), np.where(known, far, True)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(score, pa.float64()),
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(score, pa.float64()),
                                               pa.array(rejected, pa.bool_())], [*keep, *new])
 
     return plain.mapInArrow(run, schema)
@@ -214,5 +216,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without the rows that a model learned from its own labelled rows rejects; all columns as they were."""
     model = fit(docs.filter(~held_out(id_col)), id_col, text_col, lang_col)
-    marked = docs.select("*", F.col(text_col).alias("_text"))
-    return identify(marked, model, "_text", keep=docs.columns).filter("not rejected").select(*docs.columns)
+    names = tuple(unused(docs, name) for name in ("lang_pred", "score", "rejected"))
+    return identify(docs, model, text_col, names=names).filter(~F.col(names[2])).select(*docs.columns)

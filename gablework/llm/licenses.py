@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .byte_hashes import Rolling, mixed, text_bytes, word_hashes
-from .common import in_batches, worker_cached
+from .common import in_batches, unused, worker_cached
 
 #: Common wordings of license notices by family (fixed values).
 NOTICES = {
@@ -199,6 +199,7 @@ def scan(docs: DataFrame, model: LicenseModel, text_col: str = "text", keep: lis
     in_batches(docs.sparkSession)
     new = {"n_paragraphs": T.IntegerType(), "matches": T.ArrayType(MATCH)}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    source = unused(docs, "_plain")
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, t) for n, t in new.items())])
     kind = pa.list_(pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()),
                                ("likeness", pa.float64())]))
@@ -206,7 +207,7 @@ def scan(docs: DataFrame, model: LicenseModel, text_col: str = "text", keep: lis
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            data, offsets = text_bytes(batch.column("_plain"))
+            data, offsets = text_bytes(batch.column(source))
             breaks = np.flatnonzero(data == 10)
             owner = np.searchsorted(offsets, breaks, side="right") - 1
             filled = np.diff(offsets) > 0
@@ -232,4 +233,4 @@ def scan(docs: DataFrame, model: LicenseModel, text_col: str = "text", keep: lis
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts.astype(np.int32)), pa.array(matches, kind)],
                                              [*keep, *new])
 
-    return docs.select(*keep, F.coalesce(plain(F.col(text_col)), F.lit("")).alias("_plain")).mapInArrow(run, schema)
+    return docs.select(*keep, F.coalesce(plain(F.col(text_col)), F.lit("")).alias(source)).mapInArrow(run, schema)

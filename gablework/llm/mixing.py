@@ -59,18 +59,18 @@ def size_of(text: str) -> Column:
 def rates(docs: DataFrame, source: str, text: str, weights: Mapping[str | None, float] | None,
           flatten: float, epochs: float) -> DataFrame:
     """source, rate: mean number of copies of each document of the source."""
-    units = docs.groupBy(F.col(source).alias("_source")).agg(F.sum(size_of(text)).alias("_units"))
+    units = docs.groupBy(F.col(source).alias("_mix_source")).agg(F.sum(size_of(text)).alias("_mix_units"))
     if weights is None:
-        share = F.pow(F.col("_units").cast("double"), F.lit(flatten))
+        share = F.pow(F.col("_mix_units").cast("double"), F.lit(flatten))
     else:
-        spelled = [F.when(F.col("_source").eqNullSafe(F.lit(k)), F.lit(float(w))) for k, w in weights.items()]
+        spelled = [F.when(F.col("_mix_source").eqNullSafe(F.lit(k)), F.lit(float(w))) for k, w in weights.items()]
         share = F.coalesce(*spelled, F.lit(0.0))
-    units = units.withColumn("_share", share)
-    whole = units.agg(F.sum("_units").alias("_all"), F.sum("_share").alias("_shares"))
+    units = units.withColumn("_mix_share", share)
+    whole = units.agg(F.sum("_mix_units").alias("_mix_all"), F.sum("_mix_share").alias("_mix_shares"))
     return units.join(F.broadcast(whole)).select(  # one row
-        "_source", F.when(F.col("_shares") > 0, F.round(
-            F.lit(float(epochs)) * F.col("_all") * F.col("_share") / F.col("_shares") / F.col("_units"), 9))
-        .otherwise(0.0).alias("_rate"))
+        "_mix_source", F.when(F.col("_mix_shares") > 0, F.round(
+            F.lit(float(epochs)) * F.col("_mix_all") * F.col("_mix_share") / F.col("_mix_shares") / F.col("_mix_units"), 9))
+        .otherwise(0.0).alias("_mix_rate"))
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, flatten: float = 0.5,
@@ -88,13 +88,13 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, f
     # Stored, so that its size is known: it is broadcast while small, else joined without a hint.
     rate = stored(rates(docs, source, text, weights, flatten, epochs), "mixing-rates")
     key = [F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")))]
-    counted = (docs.join(rate, F.col(source).eqNullSafe(F.col("_source")))
-               .withColumn("_n", copies(seed, key, F.col("_rate"))).filter("_n > 0"))
-    rows = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    counted = (docs.join(rate, F.col(source).eqNullSafe(F.col("_mix_source")))
+               .withColumn("_mix_n", copies(seed, key, F.col("_mix_rate"))).filter("_mix_n > 0"))
+    rows = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
     deal = F.xxhash64(F.lit(seed), *key, F.col("_copy"))
-    rows = rows.withColumn("_deal", deal)
-    rows = rows.repartition(partitions, "_deal") if partitions else rows.repartition("_deal")
-    return rows.sortWithinPartitions("_deal").select(*docs.columns, "_copy")
+    rows = rows.withColumn("_mix_deal", deal)
+    rows = rows.repartition(partitions, "_mix_deal") if partitions else rows.repartition("_mix_deal")
+    return rows.sortWithinPartitions("_mix_deal").select(*docs.columns, "_copy")
 
 
 def mix_sql(flatten: float = 0.5, epochs: float = 1.0, seed: int = 17) -> str:

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import in_batches, worker_cached
+from .common import in_batches, unused, worker_cached
 
 BLANK = "▁"
 #: Words kept in a worker's memo, and the longest of them.
@@ -297,15 +297,16 @@ def _mapped(docs: DataFrame, model: str, text_col: str, added: list, of, keep: l
     codec_of_worker = _shared(docs, model)
     new = {name for name, _, _ in added}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    source = unused(docs, "_encoded")
     schema = docs.select(*keep).schema
-    plain = docs.select(*keep, F.col(text_col).alias("_encoded"))  # the text itself, whatever becomes of its column
+    plain = docs.select(*keep, F.col(text_col).alias(source))  # the text itself, whatever becomes of its column
     for name, _, kind in added:
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of_worker()
         for batch in batches:
-            found = [of(codec, text or "") for text in batch.column("_encoded").to_pylist()]
+            found = [of(codec, text or "") for text in batch.column(source).to_pylist()]
             columns = list(zip(*found)) or [()] * len(added)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *(pa.array(list(c), kind) for c, (_, kind, _) in zip(columns, added))],

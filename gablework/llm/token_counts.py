@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import in_batches, text_or_empty, worker_cached
+from .common import in_batches, text_or_empty, unused, worker_cached
 
 #: Words kept in a worker's memo, and the longest of them.
 MEMO_WORDS, MEMO_LENGTH = 300_000, 64
@@ -114,13 +114,14 @@ def count_tokens(docs: DataFrame, pieces: list[bytes], text_col: str = "text", k
     in_batches(docs.sparkSession)
     new = {"n_words": T.LongType(), "n_tokens": T.LongType()}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    source = unused(docs, "_text")
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, t) for n, t in new.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = worker_cached(key, lambda: Counter(shared.value))
         for batch in batches:
-            found = [counter.counts(text) for text in batch.column("_text").to_pylist()]
+            found = [counter.counts(text) for text in batch.column(source).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1))], [*keep, *new])
 
-    return docs.select(*keep, text_or_empty(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, text_or_empty(text_col).alias(source)).mapInArrow(run, schema)
