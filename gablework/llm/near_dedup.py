@@ -8,8 +8,8 @@ a signature costs the same for short and long texts beyond reading them. Two sig
 coordinate with the odds of the weighted Jaccard similarity.
 
 Texts with equal words are one node from the start. Nodes that agree in a band of six coordinates are linked with the
-two ends of a shuffled order of that bucket, another order for each band, so a bucket of n gives 2 n candidates and
-a large group is held together by many different leaders. Candidates are judged by their signatures when
+two ends of a shuffled order of that bucket, of which there are several, so a bucket of n gives 2 n candidates and
+a large group is held together by different leaders. Candidates are judged by their signatures when
 these leave no doubt, and by their exact shingles otherwise; classes are the connected components of the links.
 """
 
@@ -32,6 +32,8 @@ COORDINATES = ROWS * BANDS
 SIMILARITY = 0.8
 #: Signatures within this distance of the threshold (four standard errors) are settled by exact shingles.
 DOUBT = 0.1
+#: Shuffled orders among the buckets: a member of a large group is compared with about twice as many others.
+ORDERS = 4
 PIECE = 1 << 20
 
 
@@ -157,7 +159,7 @@ def candidates(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
         b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
     rows = nodes.select("node", F.explode(bands).alias("band"))
-    shuffle = F.xxhash64("band", F.lit(7))
+    shuffle = F.xxhash64(F.col("band").bitwiseAND(F.lit(ORDERS - 1)), F.lit(7))
     ends = (rows.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(shuffle)).alias("low"),
                                      F.max(F.col("node").bitwiseXOR(shuffle)).alias("high"))
             .filter("low <> high"))
