@@ -6,11 +6,11 @@ from pyspark.sql import Column, functions as F
 
 
 def r2(y: Column, predicted: Column) -> Column:
-    """1 - residual sum of squares / total sum of squares."""
+    """1 - residual sum of squares / total sum of squares; missing where y does not vary."""
     both = y.isNotNull() & predicted.isNotNull()
     residual = F.sum(F.pow(y - predicted, F.lit(2.0)))
     spread = F.var_pop(F.when(both, y)) * F.count(F.when(both, y))
-    return F.lit(1.0) - residual / spread
+    return F.lit(1.0) - F.try_divide(residual, spread)
 
 
 def mse(y: Column, predicted: Column) -> Column:

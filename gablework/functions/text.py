@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import math
 
+# Terms that a sum spells out as a chain; longer sums give the same digits in another form.
+CHAIN = 200
+
 
 def name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
@@ -37,9 +40,16 @@ def alias(expression: str, column: str) -> str:
 
 
 def dot(names, weights, intercept: float) -> str:
-    """intercept + sum of weight * column, skipping zero weights."""
-    terms = [f"{number(w)} * CAST({name(c)} AS DOUBLE)" for c, w in zip(names, weights, strict=True) if w != 0.0]
-    return " + ".join([number(intercept), *terms])
+    """intercept + sum of weight * column, skipping zero weights.
+
+    Many terms are added by a fold over an array: a chain of that many plus signs is too deep to parse.
+    """
+    used = [(f"CAST({name(c)} AS DOUBLE)", number(w)) for c, w in zip(names, weights, strict=True) if w != 0.0]
+    if len(used) <= CHAIN:
+        return " + ".join([number(intercept), *(f"{w} * {c}" for c, w in used)])
+    columns, factors = (", ".join(part) for part in zip(*used))
+    return (f"aggregate(zip_with(array({columns}), array({factors}), (x, w) -> w * x), {number(intercept)}, "
+            "(total, term) -> total + term)")
 
 
 def yeo_johnson(x: str, lam: float) -> str:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import col, complete_rows
+from ..functions.columns import col, complete_rows, missing_if_nan, value
 from ..session import runs_in_tasks
 
 # Above this many products the matrix is added up in numpy instead of by one SQL
@@ -30,7 +30,7 @@ def gram(df: DataFrame, columns: Sequence[Column], keys: Sequence[str] = (),
          expand: tuple[int, Callable[[np.ndarray], np.ndarray]] | None = None) -> DataFrame:
     """One row per key: the keys and ``gram``, the upper triangle of sum(z z') by rows.
 
-    Rows with a missing value in any column are left out. ``shift`` is subtracted from
+    Rows with a missing value (NULL or NaN) in any column or key are left out. ``shift`` is subtracted from
     the columns first, which keeps digits when a mean is far larger than its spread.
     ``expand`` is (width, function): a block of rows is turned into ``width`` columns
     before it is multiplied, so that wide derived features never become table columns.
@@ -39,8 +39,8 @@ def gram(df: DataFrame, columns: Sequence[Column], keys: Sequence[str] = (),
     if width > WIDEST:
         raise ValueError(f"{width} columns; moment matrices are kept to {WIDEST}")
     shift = list(shift) if shift is not None else [0.0] * len(columns)
-    z = [(c.cast("double") - F.lit(float(s))) if s else c.cast("double") for c, s in zip(columns, shift)]
-    narrow = df.select(*[col(k) for k in keys], *[c.alias(f"_z{i}") for i, c in enumerate(z)])
+    z = [missing_if_nan(c.cast("double") - F.lit(float(s)) if s else c.cast("double")) for c, s in zip(columns, shift)]
+    narrow = complete_rows(df, keys).select(*[col(k) for k in keys], *[c.alias(f"_z{i}") for i, c in enumerate(z)])
     names = [f"_z{i}" for i in range(len(z))]
     m = len(z) + 1
     if not expand and m * (m + 1) // 2 <= BUILTIN_PRODUCTS:
@@ -132,8 +132,8 @@ def pairwise_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     from ..session import small_frame
 
     means = [r.mean or 0.0 for r in ranges(df, columns)]
-    x = [F.coalesce(col(c).cast("double") - F.lit(m), F.lit(0.0)) for c, m in zip(columns, means)]
-    present = [col(c).isNotNull().cast("double") for c in columns]
+    x = [F.coalesce(value(c) - F.lit(m), F.lit(0.0)) for c, m in zip(columns, means)]
+    present = [value(c).isNotNull().cast("double") for c in columns]
     g = collect_gram(df, [*x, *present, *[v * v for v in x]])[()]
     p = len(columns)
     values, flags, squares = (slice(1 + i * p, 1 + (i + 1) * p) for i in range(3))
@@ -141,7 +141,7 @@ def pairwise_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     with np.errstate(invalid="ignore", divide="ignore"):
         cross = g[values, values] - sx * sx.T / n
         spread = sxx - sx * sx / n
-        r = cross / np.sqrt(spread * spread.T)
+        r = np.where((spread > 1e-12 * sxx) & (spread.T > 1e-12 * sxx.T), cross / np.sqrt(spread * spread.T), np.nan)
     rows = [(columns[i], columns[j], None if not np.isfinite(r[i, j]) else float(r[i, j]))
             for i in range(p) for j in range(i + 1, p)]
     return small_frame(df.sparkSession, rows, "a string, b string, r double")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import col, holds
+from ..functions.columns import col, holds, value
 
 
 def _grouped(df: DataFrame, group: str):
@@ -60,7 +60,7 @@ def kurt(x: Column) -> Column:
 def _per_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:
     """One aggregate over the table, one output row per column."""
     entries = F.array(*[F.struct(F.lit(c).alias("column_name"), *[
-        f(col(c).cast("double")).alias(name) for name, f in measures.items()]) for c in columns])
+        f(value(c)).alias(name) for name, f in measures.items()]) for c in columns])
     return df.agg(entries.alias("e")).select(F.explode("e").alias("e")).select("e.*")
 
 
@@ -69,7 +69,8 @@ def skew_kurt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def normal_test(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """D'Agostino-Pearson test: statistic and p-value from the population moments."""
+    """D'Agostino-Pearson test: statistic and p-value from the population moments. Missing for fewer
+    than four values or a column without spread."""
     raw = _per_column(df, columns, {"n": lambda x: F.count(x).cast("double"), "g1": F.skewness, "g2": F.kurtosis})
     n, g1, g2 = F.col("n"), F.col("g1"), F.col("g2")
     # skewness: transformed to a standard normal (D'Agostino 1970)
@@ -88,12 +89,15 @@ def normal_test(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cube = (1 - 2 / a) / (1 + x * F.sqrt(2 / (a - 4)))
     z_kurt = (1 - 2 / (9 * a) - F.signum(cube) * F.pow(F.abs(cube), F.lit(1 / 3))) / F.sqrt(2 / (9 * a))
     k2 = z_skew * z_skew + z_kurt * z_kurt
+    # Values below four would divide by zero; they never reach the formulas.
+    raw = raw.select("column_name", *[F.when((n >= 4) & ~F.isnan(g1), c).alias(name)
+                                      for name, c in (("n", n), ("g1", g1), ("g2", g2))])
     return raw.select("column_name", k2.alias("statistic"), F.exp(-k2 / 2).alias("p_value"))
 
 
 def fit_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """{column: (mean, population standard deviation)}."""
-    aggs = [f(col(c).cast("double")).alias(f"{name}{i}") for i, c in enumerate(columns)
+    aggs = [f(value(c)).alias(f"{name}{i}") for i, c in enumerate(columns)
             for name, f in (("m", F.avg), ("s", F.stddev_pop))]
     row = df.agg(*aggs).first()
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
@@ -107,7 +111,7 @@ BUILTIN_PAIRS = 120
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, in long form; each pair over the rows where
-    both are present."""
+    both are present. A column without spread has no correlation."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if len(pairs) > BUILTIN_PAIRS:
         from ..models.gram import pairwise_correlations
@@ -117,8 +121,12 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _pairs(df: DataFrame, pairs) -> DataFrame:
     def correlation(a, b):
-        x, y = col(a).cast("double"), col(b).cast("double")
-        return F.corr(x, y)
+        x, y = value(a), value(b)
+        both = x.isNotNull() & y.isNotNull()
+        # corr divides by the spread even where it is zero, so a flat side is left out of it
+        x_low, x_high, y_low, y_high = (f(F.when(both, v)) for v in (x, y) for f in (F.min, F.max))
+        return F.when((x_low < x_high) & (y_low < y_high), F.try_divide(
+            F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))))
 
     entries = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("r"))
                         for a, b in pairs])
@@ -134,8 +142,8 @@ def corr_with(df: DataFrame, y: str, columns: Sequence[str]) -> DataFrame:
 # --- histograms --------------------------------------------------------------
 
 def _bins(df: DataFrame, x: str, bins: int):
-    value = col(x).cast("double")
-    low, high, total = df.agg(F.min(value), F.max(value), F.count(value)).first()
+    v = value(x)
+    low, high, total = df.agg(F.min(v), F.max(v), F.count(v)).first()
     if low is None or low == high:
         low, high = (0.0, 1.0) if low is None else (low, low + 1.0)
     number = F.least(F.floor((col(x) - F.lit(low)) / F.lit(high - low) * bins), F.lit(bins - 1)).cast("int")
@@ -144,7 +152,7 @@ def _bins(df: DataFrame, x: str, bins: int):
 
 def histogram(df: DataFrame, x: str, bins: int, facet: str | None = None) -> DataFrame:
     """Equal-width counts from the minimum to the maximum over all rows, per facet."""
-    present = df.where(col(x).isNotNull())
+    present = df.where(value(x).isNotNull())
     if facet:
         present = present.where(col(facet).isNotNull())
     *_, number = _bins(present, x, bins)
@@ -155,11 +163,12 @@ def histogram(df: DataFrame, x: str, bins: int, facet: str | None = None) -> Dat
 def normal_fit(df: DataFrame, x: str, bins: int) -> DataFrame:
     """Observed density per bin beside the density of the normal with the same mean and
     population standard deviation, at the bin's center."""
-    present = df.where(col(x).isNotNull())
+    present = df.where(value(x).isNotNull())
     low, width, total, number = _bins(present, x, bins)
     mean, std = fit_moments(present, [x])[x]
     counted = present.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
     center = F.lit(low) + (F.col("bin") + 0.5) * F.lit(width)
+    std = std if std else math.nan  # a normal without spread has no density
     z = (center - F.lit(mean)) / F.lit(std)
     return counted.select(
         "bin", "n_rows", (F.col("n_rows") / F.lit(total * width)).alias("density"),
@@ -170,7 +179,7 @@ def normal_fit(df: DataFrame, x: str, bins: int) -> DataFrame:
 
 def ols_line(df: DataFrame, x: str, y: str, group: str | None = None) -> DataFrame:
     """Slope, intercept and R2 of y ~ 1 + x, for all rows or per group."""
-    a, b = col(y).cast("double"), col(x).cast("double")
+    a, b = value(y), value(x)
     source = _grouped(df, group) if group else df
     return source.agg(F.regr_slope(a, b).alias("slope"), F.regr_intercept(a, b).alias("intercept"),
                       F.regr_r2(a, b).alias("r2"))

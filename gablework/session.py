@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import re
+import shutil
 import sys
 import tempfile
 import uuid
@@ -29,11 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     global _local_folder
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="gablework-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import col
+from ..functions.columns import col, missing_if_nan
 from ..models.gram import collect_gram
 from ..models.linear import Linear
 from ..models.solve import squared_error
@@ -58,8 +58,9 @@ def repeat_cv(df: DataFrame, variants: Mapping[str, Sequence[str]], target: str,
 
 
 def ttest(df: DataFrame, value: str, variant: str, a, b) -> DataFrame:
-    """Student's t test with equal variances of two groups of rows: diff, t, df, p_value."""
-    v, g = col(value).cast("double"), col(variant)
+    """Student's t test with equal variances of two groups of rows: diff, t, df, p_value. NaN for an empty
+    group, or if both have one row."""
+    v, g = missing_if_nan(col(value).cast("double")), col(variant)
 
     def stats(which):
         x = F.when(g == F.lit(which), v)
@@ -68,8 +69,11 @@ def ttest(df: DataFrame, value: str, variant: str, a, b) -> DataFrame:
     (ma, va, na), (mb, vb, nb) = stats(a), stats(b)
     row = df.agg(ma.alias("ma"), va.alias("va"), na.alias("na"), mb.alias("mb"), vb.alias("vb"), nb.alias("nb")).first()
     freedom = row["na"] + row["nb"] - 2
+    if min(row["na"], row["nb"]) < 1 or freedom < 1:  # nothing to compare
+        diff = row["ma"] - row["mb"] if row["na"] and row["nb"] else math.nan
+        return small_frame(df.sparkSession, [(diff, math.nan, freedom, math.nan)], "diff double, t double, df double, p_value double")
     diff = row["ma"] - row["mb"]
-    pooled = ((row["na"] - 1) * row["va"] + (row["nb"] - 1) * row["vb"]) / freedom
+    pooled = sum((row[f"n{s}"] - 1) * (row[f"v{s}"] or 0.0) for s in "ab") / freedom  # one row has no variance
     error = math.sqrt(pooled * (1 / row["na"] + 1 / row["nb"]))
     t = diff / error if error > 0 else math.copysign(math.inf, diff) if diff else math.nan
     return small_frame(df.sparkSession, [(diff, t, freedom, two_sided(t, freedom))],

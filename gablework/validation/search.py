@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import scores
-from ..functions.columns import col
+from ..functions.columns import col, complete_rows
 from ..models.gram import collect_gram, gram, square
 from ..models.linear import Linear
 from ..models.solve import elastic_net, r_squared, ridge, squared_error
@@ -45,7 +45,8 @@ def cv_rmse(df: DataFrame, learner, features: Sequence[str], target: str, fold:
 
 
 def fold_values(df: DataFrame, fold: str) -> list:
-    return sorted(r[0] for r in df.select(col(fold)).distinct().collect())
+    """The folds in order; rows without one belong to none."""
+    return sorted(r[0] for r in complete_rows(df.select(col(fold)), [fold]).distinct().collect())
 
 
 def out_of_fold(df: DataFrame, learner, features: Sequence[str], target: str, fold: str) -> DataFrame:
