@@ -2,46 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import json
+
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.columns import col
-from ..session import LOOKUP_ROWS, fresh_path, rows_within, small_frame
+from ..session import fresh_path
 from ..stage import Fitted
 
 
-def freeze(table: DataFrame, bound: int = LOOKUP_ROWS) -> dict:
-    """Evaluate a look-up once. Up to ``bound`` rows it becomes a constant of the
-    model; a larger one is written to the shared folder."""
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = rows_within(table, bound)
-        if rows is not None:
-            return {"schema": table.schema.json(), "rows": [list(r) for r in rows], "path": None}
-        path = fresh_path(table.sparkSession, "lookup")
-        table.write.parquet(path)
-        return {"schema": table.schema.json(), "rows": None, "path": path}
-    finally:
-        table.unpersist()
+def freeze(table: DataFrame) -> dict:
+    """Evaluate a look-up once: it is written to the shared folder, and into a model's own folder with the model."""
+    path = fresh_path(table.sparkSession, "lookup")
+    table.write.parquet(path)
+    return {"schema": table.schema.json(), "path": path}
 
 
 def thaw(spark: SparkSession, frozen: dict) -> DataFrame:
-    """The look-up as a frame. The bounded form carries a broadcast hint; the written
-    form does not, so the join is sized by statistics and AQE splits hot keys."""
-    import json
+    """The look-up as a frame. It carries no hint: the size of its files decides the join, and AQE splits hot keys."""
+    return spark.read.schema(T.StructType.fromJson(json.loads(frozen["schema"]))).parquet(frozen["path"])
+
+
+class _TableWriter(DefaultParamsWriter):
+    """Constants as usual, and the look-up beside them."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.table(SparkSession.active()).write.parquet(f"{path}/table")
 
-    schema = T.StructType.fromJson(json.loads(frozen["schema"]))
-    if frozen["rows"] is None:
-        return spark.read.schema(schema).parquet(frozen["path"])
-    return F.broadcast(small_frame(spark, frozen["rows"], schema))
+
+class _TableReader(DefaultParamsReader):
+    def load(self, path: str):
+        model = super().load(path)
+        config = dict(model.getOrDefault(model.config))
+        model._set(config={**config, "table": {**config["table"], "path": f"{path}/table"}})
+        return model
 
 
 class LookupModel(Fitted):
-    """Left join of ``table`` on ``key``; subclasses say what to do with the values."""
+    """Left join of ``table`` on ``key``; subclasses say what to do with the values. A saved model
+    holds its table, whatever its size and types."""
 
     def __init__(self, key=None, columns=(), table=None, **more):
         super().__init__(**({"key": key, "columns": list(columns), "table": table, **more} if key else {}))
 
+    def write(self) -> DefaultParamsWriter:
+        return _TableWriter(self)
+
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _TableReader(cls)
+
     def table(self, spark: SparkSession) -> DataFrame:
         return thaw(spark, self["table"])
 
@@ -50,8 +62,6 @@ class LookupModel(Fitted):
         key, columns = self["key"], self["columns"]
         table = self.table(df.sparkSession).select(
             col(key).alias("_key"), *[col(c).alias(f"_found_{c}") for c in columns])
-        if self["table"]["rows"] is not None:
-            table = F.broadcast(table)
         return df.join(table, df[key] == table["_key"], "left").drop("_key")
 
 

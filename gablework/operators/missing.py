@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import col
 from ..stage import Learner, Step, unique
 from .lookup import LookupModel, freeze, numbered
-from ..session import LOOKUP_ROWS, rows_within
 
 
 def fill_constant(df: DataFrame, columns: Iterable[str], value) -> DataFrame:
@@ -112,13 +111,7 @@ class Factorizer(Learner):
         column = self["column"]
         first = (df.where(col(column).isNotNull()).groupBy(col(column))
                    .agg(F.min(col(self["order_by"])).alias("_first")))
-        rows = rows_within(first, LOOKUP_ROWS)
-        if rows is None:
-            frozen = freeze(numbered(first, "_first", "code").select(column, "code"))
-        else:
-            values = [[r[0], i] for i, r in enumerate(sorted(rows, key=lambda r: r[1]))]
-            schema = first.select(column, F.lit(0).cast("bigint").alias("code")).schema
-            frozen = {"schema": schema.json(), "rows": values, "path": None}
+        frozen = freeze(numbered(first, "_first", "code").select(col(column), "code"))
         return FactorizerModel(column, ["code"], frozen, output=self["output"])
 
 

@@ -145,19 +145,22 @@ class LogZScoreModel(ScaleModel):
 
 # --- encoding ----------------------------------------------------------------
 
-def learn_levels(df: DataFrame, columns: Sequence[str]) -> list[list]:
-    """Distinct non-missing values of each column in order; all columns in one pass."""
+def learn_levels(df: DataFrame, columns: Sequence[str], most: int | None = None) -> list[list]:
+    """Distinct non-missing values of each column in order; all columns in one pass. More than ``most``
+    levels (MOST_LEVELS if not given) are an error. Dates, decimals and the like become text."""
+    most = MOST_LEVELS if most is None else most
     if not columns:
         return []
     entries = [F.struct(F.lit(i).alias("which"), col(c).cast("string").alias("v")) for i, c in enumerate(columns)]
     found = rows_within(df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-                          .where("v is not null").distinct(), MOST_LEVELS)
+                          .where("v is not null").distinct(), most)
     if found is None:
-        raise ValueError(f"more than {MOST_LEVELS} levels in {list(columns)}: not categories")
-    parse = {T.BooleanType: lambda v: v == "true", T.StringType: str, T.DoubleType: float, T.FloatType: float}
+        raise ValueError(f"more than {most} levels in {list(columns)}: not categories")
+    parse = {T.BooleanType: lambda v: v == "true", T.DoubleType: float, T.FloatType: float,
+             **dict.fromkeys((T.ByteType, T.ShortType, T.IntegerType, T.LongType), int)}
     levels: list[list] = [[] for _ in columns]
     for row in found:
-        levels[row["which"]].append(parse.get(type(df.schema[columns[row["which"]]].dataType), int)(row["v"]))
+        levels[row["which"]].append(parse.get(type(df.schema[columns[row["which"]]].dataType), str)(row["v"]))
     return [sorted(v) for v in levels]
 
 
@@ -171,6 +174,8 @@ def place(column: str, levels: Sequence, unseen: str, label: str | None = None)
     if not levels:
         return "0L"
     c = text.name(column)
+    if isinstance(levels[0], str):
+        c = f"CAST({c} AS STRING)"
     found = f"coalesce(array_position(array({', '.join(map(text.literal, levels))}), {c}), 0L)"
     if unseen == "error":
         message = f"concat({text.literal(f'unseen level in {label or column}: ')}, coalesce(CAST({c} AS STRING), 'missing'))"
@@ -180,14 +185,17 @@ def place(column: str, levels: Sequence, unseen: str, label: str | None = None)
 
 class OneHot(Learner):
     """One 0/1 column per level, in alphabetical (numeric) order, named column_level.
-    ``drop="first"`` leaves the first level out; ``unseen`` is "error" or "ignore"."""
+    ``drop="first"`` leaves the first level out; ``unseen`` is "error" or "ignore"; ``most_levels`` is how many
+    levels all columns may have together before they count as no categories."""
 
-    def __init__(self, columns: Iterable[str] = (), drop: str | None = "first", unseen: str = "error"):
-        super().__init__(**({"columns": list(columns), "drop": drop, "unseen": unseen} if columns else {}))
+    def __init__(self, columns: Iterable[str] = (), drop: str | None = "first", unseen: str = "error",
+                 most_levels: int = MOST_LEVELS):
+        super().__init__(**({"columns": list(columns), "drop": drop, "unseen": unseen, "most_levels": most_levels}
+                            if columns else {}))
 
     def _fit(self, df: DataFrame) -> OneHotModel:
         columns = unique(self["columns"])
-        return OneHotModel(columns, learn_levels(df, columns), self["drop"], self["unseen"])
+        return OneHotModel(columns, learn_levels(df, columns, self.get("most_levels")), self["drop"], self["unseen"])
 
 
 class OneHotModel(Fitted):

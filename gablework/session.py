@@ -17,9 +17,6 @@ from pyspark import StorageLevel, cloudpickle, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Rows of a fitted look-up that may live on the driver and be broadcast.
-# Anything larger stays a distributed table.
-LOOKUP_ROWS = 50_000
 # Spark jobs that may run at the same time from one call.
 AT_ONCE = 4
 

@@ -24,11 +24,8 @@ def test_mode_and_rarest(rows):
     assert table("rarest")["tie"] == ("x", 2)
 
 
-@pytest.mark.parametrize("bound", [50_000, 1])
-def test_imputer_bounded_and_written_lookup(rows, monkeypatch, bound):
-    monkeypatch.setattr(lookup.freeze, "__defaults__", (bound,))
+def test_imputer_fills_from_its_group(rows):
     model = missing.GroupModeImputer("g", ["s", "n"]).fit(rows)
-    assert (model["table"]["rows"] is None) == (bound == 1)
     out = {r["id"]: (r["s"], r["n"]) for r in model.transform(rows).collect()}
     assert len(out) == rows.count()
     assert out[1005] == ("b", 0) and out[1002] == ("x", 1)
@@ -44,11 +41,23 @@ def test_factorizer_uses_train_codes(rows, spark):
     assert {r["s"]: r["code"] for r in fit.transform(other).collect()} == {"never": -1, "b": 1}
 
 
-def test_factorizer_beyond_the_bound(rows, monkeypatch):
-    monkeypatch.setattr(missing, "LOOKUP_ROWS", 2)
-    fit = missing.Factorizer("s", "id", "code").fit(rows)
-    codes = {r["s"]: r["code"] for r in fit.transform(rows).select("s", "code").distinct().collect()}
-    assert codes == {"a": 0, "b": 1, "y": 2, "x": 3, "q": 4, None: -1}
+def test_saved_lookup_stands_alone(spark, tmp_path):
+    """A model with 60,000 date groups is saved whole: the scratch table behind it may go."""
+    import shutil
+
+    from gablework.sources.sinks import load_model, save_model
+
+    df = spark.range(120_000).selectExpr(
+        "date_add(date'1900-01-01', cast(id % 60000 as int)) AS day", "cast(id % 60000 % 7 as string) AS s",
+        "cast(id % 60000 % 3 as decimal(4,1)) AS d")
+    model = missing.GroupModeImputer("day", ["s", "d"]).fit(df)
+    save_model(model, str(tmp_path / "model"))
+    shutil.rmtree(model["table"]["path"].removeprefix("file:"))
+    again = load_model(str(tmp_path / "model"))
+    holes = df.withColumns({"s": F.lit(None).cast("string"), "d": F.lit(None).cast("decimal(4,1)")}).limit(60_000)
+    filled = again.transform(holes)
+    assert filled.where("s is null or d is null").count() == 0
+    assert filled.join(df.distinct(), ["day", "s", "d"], "left_anti").count() == 0
 
 
 def test_numbered_is_gapless(spark):
