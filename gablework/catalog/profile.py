@@ -87,6 +87,33 @@ def corr_matrix(t: DataFrame) -> DataFrame:
     return rounded(profile.corr_matrix(t, NUMERIC), 5, "r")
 
 
+def _spiky_sql(n: int) -> str:
+    """Correlations of ``spiky`` columns, NaN as missing; none with the constant c1."""
+    columns = ", ".join(["CASE WHEN id % 13 <> 0 THEN liv_area END AS c0", "3.0::double AS c1",
+                         *[f"(id * {k} % 101)::double AS c{k}" for k in range(2, n)]])
+    pairs = " UNION ALL ".join(
+        f"SELECT 'c{i}' AS a, 'c{j}' AS b, " + ("max(NULL::double)" if 1 in (i, j) else f"round(corr(c{i}, c{j}), 5)") + " AS r FROM s"
+        for i in range(n) for j in range(i + 1, n))
+    return f", s AS (SELECT {columns} FROM listings) {pairs}"
+
+
+def _spiky(t: DataFrame, n: int) -> DataFrame:
+    """Columns c0 with NaN in it, c1 constant, and others."""
+    s = t.select(F.when(F.col("id") % 13 != 0, F.col("liv_area")).otherwise(F.lit(float("nan"))).alias("c0"), F.lit(3.0).alias("c1"),
+                 *[(F.col("id") * k % 101).cast("double").alias(f"c{k}") for k in range(2, n)])
+    return rounded(profile.corr_matrix(s, s.columns), 5, "r")
+
+
+@query(_spiky_sql(6))
+def corr_missing_narrow(t: DataFrame) -> DataFrame:
+    return _spiky(t, 6)
+
+
+@query(_spiky_sql(20))
+def corr_missing_wide(t: DataFrame) -> DataFrame:
+    return _spiky(t, 20)
+
+
 @query(_each(NUMERIC[:-1], "SELECT '{c}' AS column_name, round(corr({c}, sale_price), 5) AS r FROM listings"))
 def corr_with_target(t: DataFrame) -> DataFrame:
     return rounded(profile.corr_with(t, "sale_price", NUMERIC), 5, "r")
