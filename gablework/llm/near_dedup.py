@@ -245,7 +245,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labelled = stored(worded.union(alone), "near-labelled")
     scratch.delete()
     release(spark)
-    classes = labelled.groupBy("label").agg(F.min(F.struct("id", "_f", "_row")).alias("keep"), F.count(F.lit(1)).alias("class_size"))
+    classes = stored(labelled.groupBy("label").agg(
+        F.min(F.struct("id", "_f", "_row")).alias("keep"), F.count(F.lit(1)).alias("class_size")), "near-classes")
     return labelled.join(classes, "label").select(
         "id", F.col("keep.id").alias("class_id"), "class_size", "n_links",
         (F.struct("id", "_f", "_row") == F.col("keep")).alias("kept"), "_f", "_row")
