@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import col, conjunction, same
+from ..session import fresh_path
 
 
 def match_sources(a: DataFrame, b: DataFrame, keys: Sequence[str],
@@ -16,8 +17,9 @@ def match_sources(a: DataFrame, b: DataFrame, keys: Sequence[str],
     """Full outer join on a composite key; other columns get a suffix where both tables
     have them. Missing keys match missing keys.
 
-    Written as an inner join and the two anti joins: AQE can split a hot key in each of
-    these, and cannot in a full outer join.
+    Both tables are written once under their keys, then joined by a left outer and an anti join: AQE can
+    split a hot key of the left table in these, and no key in a full outer join. Rows whose whole key is missing
+    match all such rows of the other table, as any equal keys do.
     """
     shared = set(a.columns) & set(b.columns) - set(keys)
 
@@ -29,16 +31,21 @@ def match_sources(a: DataFrame, b: DataFrame, keys: Sequence[str],
                     *[col(c).alias(n) for c, n in left_names.items()])
     right = b.select(*[col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
                      *[col(c).alias(n) for c, n in right_names.items()])
+    left, right = (_written(side, name) for side, name in ((left, "match-left"), (right, "match-right")))
     on = reduce(and_, [F.col(f"_l{i}").eqNullSafe(F.col(f"_r{i}")) for i in range(len(keys))])
     left_keys = [F.col(f"_l{i}").alias(k) for i, k in enumerate(keys)]
     right_keys = [F.col(f"_r{i}").alias(k) for i, k in enumerate(keys)]
     left_values, right_values = ([col(n) for n in names.values()] for names in (left_names, right_names))
     no_left = [F.lit(None).cast(a.schema[c].dataType).alias(n) for c, n in left_names.items()]
-    no_right = [F.lit(None).cast(b.schema[c].dataType).alias(n) for c, n in right_names.items()]
-    both = left.join(right, on).select(*left_keys, *left_values, *right_values)
-    left_only = left.join(right, on, "left_anti").select(*left_keys, *left_values, *no_right)
+    all_left = left.join(right, on, "left_outer").select(*left_keys, *left_values, *right_values)
     right_only = right.join(left, on, "left_anti").select(*right_keys, *no_left, *right_values)
-    return both.unionByName(left_only).unionByName(right_only)
+    return all_left.unionByName(right_only)
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def rows_agree(df: DataFrame, columns: Sequence[str], name: str = "agree",

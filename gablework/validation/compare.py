@@ -9,45 +9,38 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import col, missing_if_nan
-from ..models.gram import collect_gram
+from ..models.gram import gram, square
 from ..models.linear import Linear
 from ..models.solve import squared_error
-from ..session import small_frame
+from ..session import kept, small_frame
 from .folds import with_folds
 from .search import cv_rmse
 
-# Rows fall into this many hash buckets per fold; a repeat deals buckets, not rows.
-BUCKETS_PER_FOLD = 16
-
-
 def repeat_cv(df: DataFrame, variants: Mapping[str, Sequence[str]], target: str, key: str, k: int = 10,
               repeats: int = 10, learner=None, seed: int = 6) -> DataFrame:
     """(variant, repeat, mean_rmse, std_rmse): k-fold cross-validation, repeated with
     other folds, of feature sets that share one table.
 
-    A linear learner reads the rows once: rows are hashed into buckets, there is one
-    moment matrix per bucket over the columns of all variants, and each repeat deals the
-    buckets to folds at random. Other learners are fitted per repeat and fold.
+    Every repeat deals each row anew by a hash of its key and the repeat. A linear learner reads the rows once:
+    there is one moment matrix per repeat and fold over the columns of all variants, and the folds of one repeat
+    are looked at together. Other learners are fitted per repeat and fold.
     """
     learner = learner or Linear()
     rows = []
     if isinstance(learner, Linear):
         columns = list(dict.fromkeys(c for features in variants.values() for c in features))
-        buckets = k * BUCKETS_PER_FOLD
-        bucketed = with_folds(df, buckets, key, seed, "_bucket")
-        found = collect_gram(bucketed, [col(c) for c in [*columns, target]], ["_bucket"])
-        matrices = {b[0]: g for b, g in found.items()}
-        for repeat in range(1, repeats + 1):
-            dealt = np.random.default_rng(seed + repeat).permutation(buckets) % k
-            folds = [sum((g for b, g in matrices.items() if dealt[b] == f), np.zeros((len(columns) + 2,) * 2))
-                     for f in range(k)]
-            folds = [g for g in folds if g[0, 0] > 0]
-            for name, features in variants.items():
-                at = [0, *[1 + columns.index(c) for c in features], len(columns) + 1]
-                own = [g[np.ix_(at, at)] for g in folds]
-                total = sum(own)
-                errors = [math.sqrt(squared_error(g, *learner.solve(total - g))) for g in own]
-                rows.append((name, repeat, float(np.mean(errors)), float(np.std(errors))))
+        dealt = df.select(*[col(c) for c in [*columns, target]], col(key).alias("_dealt_by"),
+                          F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("_repeat"))
+        dealt = dealt.withColumn("_fold", F.pmod(F.xxhash64("_dealt_by", F.col("_repeat") + seed), F.lit(k)).cast("int"))
+        with kept(gram(dealt, [col(c) for c in [*columns, target]], ["_repeat", "_fold"])) as matrices:
+            for repeat in range(1, repeats + 1):
+                folds = [square(r["gram"]) for r in matrices.where(F.col("_repeat") == repeat).orderBy("_fold").collect()]
+                for name, features in variants.items():
+                    at = [0, *[1 + columns.index(c) for c in features], len(columns) + 1]
+                    own = [g[np.ix_(at, at)] for g in folds if g[0, 0] > 0]
+                    total = sum(own)
+                    errors = [math.sqrt(squared_error(g, *learner.solve(total - g))) for g in own]
+                    rows.append((name, repeat, float(np.mean(errors)), float(np.std(errors))))
     else:
         for repeat in range(1, repeats + 1):
             folded = with_folds(df, k, key, seed + repeat, "_fold")
