@@ -1,6 +1,6 @@
 """Document fingerprints by a homomorphic multiset hash.
 
-A text is the multiset of its paragraphs, cut after full stops. Each is hashed to a wide vector; the
+A text is the multiset of its paragraphs, cut after every eighth word. Each piece is hashed to a wide vector; the
 vectors are added lane by lane modulo a power of two. The sum does not depend on the order, and adding or taking
 away the vector of a paragraph inserts or deletes it. Two parts make a fingerprint:
 
@@ -22,14 +22,22 @@ from .common import row_key, stored, text_or_empty
 
 LANES, LEVELS, CELLS = 8, 8, 8
 LANE_HEX, CELL_HEX = 8, 4
+#: Words of a piece of a paragraph.
+WORDS = 8
 LANE_MOD, CELL_MOD = 2 ** 32, 2 ** 16
 #: A level tells something while at most this many of its cells are in use.
 OPEN_CELLS = 6
 
 
 def paragraphs(text: Column) -> Column:
-    """Lines, cut after full stops; empty ones are left out."""
-    return F.filter(F.split(F.replace(text, F.lit(". "), F.lit(".\n")), "\n"), lambda p: p != "")
+    """Pieces of eight words of each line, from its start; empty ones are left out."""
+    def pieces(words: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / WORDS).cast("int")),
+                           lambda i: F.array_join(F.slice(words, i * WORDS + 1, WORDS), " "))
+
+    # Each line is split once and bound to a variable before its pieces are taken.
+    lines = F.transform(F.split(text, "\n"), lambda line: F.split(line, " "))
+    return F.filter(F.flatten(F.transform(lines, pieces)), lambda p: p != "")
 
 
 def _number(digits: Column, start: int, length: int) -> Column:
@@ -104,9 +112,9 @@ def with_likeness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame
 
 def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
     """Rows of (_id, _h, which, ``name``) from rows of (_id, _h, texts array): one for each text of the array."""
-    units = F.flatten(F.transform(F.col(text), lambda t, which: F.when(
-        F.size(paragraphs(t)) > 0, F.transform(paragraphs(t), lambda p: F.struct(which.alias("which"), p.alias("p"))))
-        .otherwise(F.array(F.struct(which.alias("which"), F.lit(None).cast("string").alias("p"))))))
+    # A missing piece stands beside the others, so that a text without any has a row too.
+    units = F.flatten(F.transform(F.col(text), lambda t, which: F.transform(
+        F.concat(F.array(F.lit(None).cast("string")), paragraphs(t)), lambda p: F.struct(which.alias("which"), p.alias("p")))))
     flat = docs.select("_id", "_h", F.explode(units).alias("u")).select("_id", "_h", "u.which", "u.p")
     sums = vector_sums(F.col("p"))
     added = flat.groupBy("_id", "_h", "which").agg(*(s.alias(f"s{i}") for i, s in enumerate(sums)))
@@ -198,9 +206,12 @@ WITH d AS (
 e AS (
   SELECT doc_id, next_id, t, length(t) AS n,
     substr(t, 1, length(t) - length(t) // 4) || substr(coalesce(nt, ft), 1, length(t) // 4) AS ed FROM d),
-u AS (
-  SELECT doc_id, which, unnest(string_split(replace(x, '. ', '.' || chr(10)), chr(10))) AS p
+lines AS (
+  SELECT doc_id, which, string_split(unnest(string_split(x, chr(10))), ' ') AS ws
   FROM (SELECT doc_id, 0 AS which, t AS x FROM e UNION ALL SELECT doc_id, 1, ed FROM e)),
+u AS (
+  SELECT doc_id, which, array_to_string(ws[i * {WORDS} + 1 : i * {WORDS} + {WORDS}], ' ') AS p
+  FROM (SELECT doc_id, which, ws, unnest(range(0, (len(ws) - 1) // {WORDS} + 1)) AS i FROM lines)),
 h AS (
   SELECT doc_id, which, sha256(p) AS w, md5(p) AS m FROM u WHERE p <> ''),
 g AS (
