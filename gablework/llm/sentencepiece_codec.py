@@ -24,7 +24,7 @@ from .common import in_batches, unused, worker_cached
 
 BLANK = "▁"
 #: Words kept in a worker's memo, and the longest of them.
-MEMO_WORDS, MEMO_LENGTH = 400_000, 64
+MEMO_WORDS, MEMO_LENGTH = 250_000, 64
 #: Characters whose matches are found at a time, in texts without a blank.
 BLOCK = 1024
 
