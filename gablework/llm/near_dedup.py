@@ -9,7 +9,9 @@ coordinate with the odds of the weighted Jaccard similarity.
 
 Texts with equal words are one node from the start. Nodes that agree in a band of six coordinates are linked with the
 two ends of a shuffled order of that bucket, of which there are several, so a bucket of n gives 2 n candidates and
-a large group is held together by different leaders. Candidates are judged by their signatures when
+a large group is held together by different leaders. Where this leaves members of several classes in a bucket, further
+leaders, more in each round, are compared with all its members of other classes, until every two nodes of a bucket
+have been compared or are of one class. Candidates are judged by their signatures when
 these leave no doubt, and by their exact shingles otherwise; classes are the connected components of the links.
 """
 
@@ -34,6 +36,8 @@ SIMILARITY = 0.8
 DOUBT = 0.1
 #: Shuffled orders among the buckets: a member of a large group is compared with about twice as many others.
 ORDERS = 4
+#: Further leaders of a bucket in the first round after its ends, and how many times as many each round after has.
+LEADERS, MORE = 16, 8
 PIECE = 1 << 20
 
 
@@ -154,22 +158,43 @@ def signed(docs: DataFrame) -> DataFrame:
         "node", F.monotonically_increasing_id())
 
 
-def candidates(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of nodes that share a bucket with b at one end of the bucket's shuffled order."""
+def shared_buckets(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """band, node, low and high (the nodes at the ends of the bucket's shuffled order) and n (its nodes), where n > 1."""
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
         b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
     rows = nodes.select("node", F.explode(bands).alias("band"))
     shuffle = F.xxhash64(F.col("band").bitwiseAND(F.lit(ORDERS - 1)), F.lit(7))
     ends = (rows.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(shuffle)).alias("low"),
-                                     F.max(F.col("node").bitwiseXOR(shuffle)).alias("high"))
+                                     F.max(F.col("node").bitwiseXOR(shuffle)).alias("high"), F.count(F.lit(1)).alias("n"))
             .filter("low <> high"))
     ends = scratch.keep(ends, "near-buckets")  # written first, so that the join can split a hot bucket
-    met = rows.join(ends, "band")
-    ends_of = F.array(*(F.col(end).bitwiseXOR(shuffle) for end in ("low", "high")))
-    return (met.select("node", F.explode(ends_of).alias("other")).filter("node <> other")
+    ends_of = (F.col(end).bitwiseXOR(shuffle).alias(end) for end in ("low", "high"))
+    return scratch.keep(rows.join(ends, "band").select("band", "node", *ends_of, "n"), "near-met")
+
+
+def candidates(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that share a bucket of ``met`` with a or b at one of its ends."""
+    return (met.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node <> other")
             .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
 
 
+def undecided(active: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """band, node, label, top (the label of most nodes of the bucket) and others (its nodes of other labels), for buckets of
+    (band, node) whose nodes are not all of one label."""
+    named = scratch.keep(active.join(labels, "node", "left").select(
+        "band", "node", F.coalesce("label", "node").alias("label")), "near-named")
+    tops = (named.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
+            .agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+            .filter("kinds > 1").select("band", F.col("most.label").alias("top"), (F.col("all") - F.col("most.n")).alias("others")))
+    return scratch.keep(named.join(scratch.keep(tops, "near-tops"), "band"), "near-active")
+
+
+def elected(active: DataFrame, leaders: int, turn: int) -> DataFrame:
+    """About ``leaders`` nodes of each bucket of ``undecided``, or all if there are no more, among those not of its top label."""
+    dealt = F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.lit(1_000_000)) / 1_000_000
+    return active.filter((F.col("label") != F.col("top")) & (dealt < F.lit(leaders) / F.col("others"))).select("band", "node", "label")
+
+
 def judged(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """a, b, alike: the share of coordinates in which the signatures agree."""
     in_batches(pairs.sparkSession, 4096)
@@ -207,8 +232,8 @@ def weighted_jaccard(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  similarity: float = SIMILARITY) -> DataFrame:
-    """One row per input row: id, class_id (least id of its class), class_size, n_links (of its text with different texts), kept, and
-    its place (_file, _row or their hash _f).
+    """One row per input row: id, class_id (least id of its class), class_size, n_links (links by which its text was joined to
+    different texts; two texts of one class that were never compared count none), kept, and its place (_file, _row or their hash _f).
 
     Rows are of one class if a chain of texts connects them whose neighbours have five-word shingles of a weighted Jaccard
     similarity of at least ``similarity``. Words are runs of letters and digits in lower case; a text of fewer than five
@@ -223,16 +248,40 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table = scratch.keep(signed(rows), "near-signatures")
     heads = table.filter("n > 0").groupBy("h1", "h2").agg(F.min("node").alias("head"))
     nodes = scratch.keep(table.join(heads, F.col("node") == F.col("head"), "left_semi").filter("n > 0"), "near-nodes")
-    pairs = scratch.keep(candidates(nodes.select("node", "sig"), scratch), "near-candidates")
-    likely = scratch.keep(judged(pairs, nodes.select("node", "sig")), "near-judged")
-    sure = likely.filter(F.col("alike") >= similarity + DOUBT).select("a", "b")
-    open_pairs = likely.filter((F.col("alike") < similarity + DOUBT) & (F.col("alike") >= similarity - DOUBT))
-    open_nodes = open_pairs.select(F.col("a").alias("node")).union(open_pairs.select("b")).distinct()
-    texts = scratch.keep(rows.join(nodes.join(open_nodes, "node").select("node", "_f", "_row"), ["_f", "_row"])
-                   .select("node", "_words"), "near-texts")
-    exact = weighted_jaccard(open_pairs.select("a", "b"), texts).filter(F.col("similarity") >= similarity)
-    links = stored(sure.union(exact.select("a", "b")), "near-links")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        likely = scratch.keep(judged(pairs, nodes.select("node", "sig")), "near-judged")
+        sure = likely.filter(F.col("alike") >= similarity + DOUBT).select("a", "b")
+        open_pairs = likely.filter((F.col("alike") < similarity + DOUBT) & (F.col("alike") >= similarity - DOUBT))
+        open_nodes = open_pairs.select(F.col("a").alias("node")).union(open_pairs.select("b")).distinct()
+        texts = scratch.keep(rows.join(nodes.join(open_nodes, "node").select("node", "_f", "_row"), ["_f", "_row"])
+                             .select("node", "_words"), "near-texts")
+        exact = weighted_jaccard(open_pairs.select("a", "b"), texts).filter(F.col("similarity") >= similarity)
+        return stored(sure.union(exact.select("a", "b")), "near-links")
+
+    met = shared_buckets(nodes.select("node", "sig"), scratch)
+    seen = scratch.keep(candidates(met), "near-candidates")
+    links = linked(seen)
     labels = components(links)
+    # Members of a bucket that are neither of one class nor compared yet: further leaders meet all that are left of other classes.
+    left, leaders, turn = met.filter("n > 2 and node <> low and node <> high").select("band", "node"), LEADERS, 0
+    while True:
+        active = undecided(left, labels, scratch)
+        if active.isEmpty():
+            break
+        lead = scratch.keep(elected(active, leaders, turn), "near-leaders")
+        one, two = lead.alias("one"), active.alias("two")
+        pairs = (one.join(two, (F.col("one.band") == F.col("two.band")) & (F.col("one.label") != F.col("two.label")))
+                 .select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct())
+        pairs = scratch.keep(pairs.join(seen, ["a", "b"], "left_anti"), "near-candidates")
+        if not pairs.isEmpty():
+            found = linked(pairs)
+            if not found.isEmpty():
+                links = stored(links.union(found), "near-links")
+                labels = components(links)
+        seen = seen.union(pairs)
+        left = active.join(lead.select("band", "node"), ["band", "node"], "left_anti").select("band", "node")
+        leaders, turn = leaders * MORE, turn + 1
     degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("n_links"))
 
     in_class = (table.select("id", "_f", "_row", "node", F.when(F.col("n") > 0, F.col("h1")).otherwise(F.col("node")).alias("h1"),

@@ -240,6 +240,16 @@ def test_near_classes_of_edited_texts(spark):
     assert sum(got[k] != want[k] for k in want) <= 1
 
 
+def test_near_pairs_inside_a_template_family(spark):
+    """Texts on one template (0.786) hold pairs of 0.807, which must be found in buckets whose ends are unlike both."""
+    template = " ".join(f"t{i}" for i in range(532))
+    rows = [(2 * pair + one, " ".join([template, *(f"p{pair}x{i}" for i in range(8)), *(f"o{pair}x{one}x{i}" for i in range(64))]))
+            for pair in range(80) for one in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: (r.class_id, r.class_size) for r in near_dedup.near_classes(df).collect()}
+    assert got == {i: (i - i % 2, 2) for i, _ in rows}
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(2)
     element = rng.integers(1, 2 ** 62, 400).astype(np.uint64)
