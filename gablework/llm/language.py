@@ -4,6 +4,7 @@ A text is a vector of byte 2-grams and 3-grams of its lower-case letters, hashed
 1 + log(count) and inverse document frequency, of length one. Each language has several centroids, found by
 spherical k-means among its training texts; a text gets the language of the centroid with the greatest cosine.
 A text that is further from its centroid than nearly any training text with as many grams is rejected.
+Training texts are also cut short and joined for this, and sizes that few of them have use the limit of the nearest size.
 
 The model is learned from at most about ``per_language`` texts of each language, dealt by a hash of the id; frequencies
 are counted by Spark and each language's centroids are found in a task of its own. Prediction is a map over all rows.
@@ -28,6 +29,8 @@ CENTROIDS = 3
 PER_LANGUAGE = 1500
 #: A cosine under this share of the lowest usual one (by number of grams) is rejected.
 REJECT_SHARE, USUAL = 0.4, 0.002
+#: Training fragments from which a class of sizes has a floor of its own; others take the nearest one's.
+FILLED = 20
 SIZES = 24  # classes of texts by the binary logarithm of their number of different grams
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -116,6 +119,19 @@ def spherical_means(v: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
     return c
 
 
+def carried(floors: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """``floors`` with those of sparse classes (NaN) taken from the nearest filled class of the row, the smaller one if two are
+    as near. A row without any takes the least of the others for each class, or its own ``least`` if no row has any."""
+    out = floors.copy()
+    filled = ~np.isnan(floors)
+    some = filled.any(axis=1)
+    for i in np.flatnonzero(some):
+        at = np.flatnonzero(filled[i])
+        out[i] = floors[i, at[np.abs(np.arange(floors.shape[1])[:, None] - at).argmin(axis=1)]]
+    out[~some] = out[some].min(axis=0) if some.any() else least[:, None]
+    return out
+
+
 def _fragments(text: str) -> list[str]:
     """A text and its first 1, 2, 4, ... words, so that short texts have their usual distances too."""
     parts = text.split()
@@ -159,21 +175,30 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         group = group.sort_values("text")
         counts = np.concatenate([counts_of(list(group.text[i:i + 256])) for i in range(0, len(group), 256)])
         c = spherical_means(unit_vectors(counts, idf), centroids)
-        size, cosine = [], []
+        size, cosine, joined = [], [], counts
         for t in group.text:
             counts = counts_of(_fragments(t))
             size.append(size_class(counts))
             cosine.append((unit_vectors(counts, idf) @ c.T).max(axis=1))
+        while len(joined) > 1:  # 2, 4, 8, ... texts as one, by the sums of their grams
+            half = len(joined) // 2
+            joined = joined[:half] + joined[half:2 * half]
+            for i in range(0, half, 256):
+                size.append(size_class(joined[i:i + 256]))
+                cosine.append((unit_vectors(joined[i:i + 256], idf) @ c.T).max(axis=1))
         size, cosine = np.concatenate(size), np.concatenate(cosine)
-        floors = [REJECT_SHARE * float(np.quantile(cosine[size == i], USUAL)) if (size == i).sum() >= 20 else 0.0 for i in range(SIZES)]
+        floors = [REJECT_SHARE * float(np.quantile(cosine[size == i], USUAL)) if (size == i).sum() >= FILLED else float("nan")
+                  for i in range(SIZES)]
         return pd.DataFrame({"lang": group.lang.iloc[0], "number": range(len(c)), "centroid": [x.tolist() for x in c],
-                             "floors": [floors] * len(c)})
+                             "floors": [floors] * len(c), "least": REJECT_SHARE * float(cosine.min())})
 
-    learned = (sample.groupBy("lang").applyInPandas(of_language, "lang string, number int, centroid array<float>, floors array<double>")
-               .orderBy("lang", "number").collect())  # ``centroids`` rows a language
+    learned = (sample.groupBy("lang").applyInPandas(
+        of_language, "lang string, number int, centroid array<float>, floors array<double>, least double")
+        .orderBy("lang", "number").collect())  # ``centroids`` rows a language
     return LanguageModel([r.lang for r in learned],
                          np.array([r.centroid for r in learned], np.float32).reshape(len(learned), DIMENSIONS),
-                         np.array([r.floors for r in learned]).reshape(len(learned), SIZES), idf)
+                         carried(np.array([r.floors for r in learned], float).reshape(len(learned), SIZES),
+                                 np.array([r.least for r in learned], float)), idf)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None,

@@ -187,6 +187,28 @@ def test_language_edges(odd_documents, no_documents):
     assert kept.columns == odd_documents.columns and kept.count() < odd_documents.count()
 
 
+def test_language_rejects_noise_of_all_lengths(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    known = [(r.lang, r.text) for r in docs.filter("text is not null and length(text) > 200").orderBy("doc_id").limit(200).collect()]
+    rnd = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    noise = ["".join(rnd.choice(letters) for _ in range(n)) for n in (1000, 3000, 10_000, 50_000)]
+    noise += [" ".join("".join(rnd.choice(letters[26:52]) for _ in range(rnd.randint(3, 9))) for _ in range(n // 7))
+              for n in (3000, 10_000, 50_000)]
+    clean = [" ".join([t for lang, t in known if lang == "en"] * 3)[:n] for n in (300, 1000, 3000, 10_000, 50_000)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(noise + clean)], "doc_id long, text string")
+    got = {r.doc_id: r.rejected for r in language.identify(rows, language.fit(docs)).collect()}
+    assert [got[i] for i in range(len(got))] == [True] * len(noise) + [False] * len(clean)
+
+
+def test_floors_of_sparse_sizes():
+    nan = float("nan")
+    got = language.carried(np.array([[nan, .2, nan, nan, .3, nan], [nan] * 6, [.1, nan, nan, nan, nan, .4]]), np.full(3, .05))
+    assert got.tolist() == [[.2, .2, .2, .3, .3, .3], [.1, .1, .1, .3, .3, .3], [.1, .1, .1, .4, .4, .4]]
+    assert language.carried(np.full((2, 3), nan), np.array([.05, .06])).tolist() == [[.05] * 3, [.06] * 3]
+    assert language.carried(np.zeros((0, 3)), np.zeros(0)).shape == (0, 3)
+
+
 # 5 -- near duplicates
 
 def bags_of(rows):
