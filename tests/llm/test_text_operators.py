@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gablework.llm import (byte_hashes, exact_dedup, fingerprints, language, licenses, mixing, near_dedup,
                            sentencepiece_codec, suffix_dedup, token_counts, warc_audit)
+from gablework.llm.common import stored
 from gablework.llm.queries import QUERIES, table, tokenizer_file
 
 
@@ -473,3 +474,40 @@ def test_likeness_follows_the_edit(spark, small):
     rows = QUERIES["op10_fingerprints"](spark, small).collect()
     long = [r for r in rows if r.n_chars > 1000]
     assert sum(r.near_edited > r.near_next for r in long) > 0.95 * len(long)
+
+
+# The chain
+
+def test_pipeline_stage_by_stage(spark, small, model_file, monkeypatch):
+    """Each stage of the run against a plain version over what the stage before gave."""
+    import corpus_pipeline
+    import duckdb
+    import sentencepiece
+
+    given = {}
+
+    def kept(df, label):
+        given[label.removeprefix("pipeline-")] = out = stored(df, label)
+        return out
+
+    monkeypatch.setattr(corpus_pipeline, "stored", kept)
+    last = corpus_pipeline.run(spark, small)
+    assert list(given) == [name for name, _ in corpus_pipeline.STAGES]
+    docs = table(spark, small, "documents")
+    ids = {name: collections.Counter(r.doc_id for r in df.select("doc_id").collect()) for name, df in given.items()}
+    model = language.fit(docs.filter(~language.held_out()))
+    lettered = [(i, t) for i, t in texts_of(docs) if re.search(r"[^\W\d_]", t)]
+    far = model.nearest(language.counts_of([t.lower() for _, t in lettered]))[2]
+    assert ids["language_id"] == collections.Counter(i for (i, _), gone in zip(lettered, far) if not gone)
+    best = {}
+    for i, t in texts_of(given["language_id"]):
+        best[t] = max(i, best.get(t, i))
+    assert ids["exact_dedup"] == collections.Counter(best.values())
+    assert ids["near_dedup"] == collections.Counter(set(plain_classes(texts_of(given["exact_dedup"])).values()))
+    db = duckdb.connect()
+    db.register("documents", given["near_dedup"].toPandas())
+    assert ids["mixing"] == collections.Counter(r[0] for r in db.execute(mixing.mix_sql()).fetchall())
+    assert ids["sentencepiece"] == ids["mixing"]
+    library = sentencepiece.SentencePieceProcessor(model_file=model_file)
+    many = {i: len(library.encode(t, add_eos=True)) for i, t in texts_of(given["mixing"])}
+    assert all(r.n_tokens == many[r.doc_id] for r in last.collect())
