@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SMALL
-from oracle_check import compare, connect
+from oracle_check import SMALL, compare, connect
 
 from gablework.catalog import ORACLES, QUERIES
 

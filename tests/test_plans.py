@@ -47,10 +47,9 @@ def test_one_hot_errors_on_unseen_levels(spark):
     assert {tuple(r)[1:] for r in ignoring.transform(new).collect()} == {(0, 0)}
 
 
-def test_too_many_levels(spark, monkeypatch):
-    monkeypatch.setattr(T, "MOST_LEVELS", 5)
+def test_too_many_levels(spark):
     with pytest.raises(ValueError, match="levels"):
-        T.OneHot(["id"]).fit(spark.range(10))
+        T.OneHot(["id"], most_levels=5).fit(spark.range(10))
 
 
 def test_dummies_equal_pandas(t, pdf):
