@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -87,6 +88,18 @@ def in_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(name, rows)
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many records, for what is run inside: records that are short."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def worker_cached(key: object, build: Callable[[], object]) -> object:
     """A table built once per worker process and kept between its tasks."""
     home = sys.modules.setdefault("_gablework_worker", types.ModuleType("_gablework_worker"))

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (exact_dedup, fingerprints, language, licenses, mixing, near_dedup, sentencepiece_codec, suffix_dedup,
-               token_counts, warc_audit)
+from . import (exact_dedup, exact_search, filter_audit, fingerprints, language, licenses, mixing, near_dedup,
+               sentencepiece_codec, spelling, suffix_dedup, token_counts, warc_audit)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,30 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query(fingerprints.edited_sql())
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query("""
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM sound q JOIN sound c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def op11_exact_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    found = exact_search.search(vectors, vectors.filter("vec_id % 100 = 0"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query(filter_audit.audit_sql())
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove, part by part, in all 120 orders."""
+    counts = filter_audit.masks(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return filter_audit.audit(counts)
+
+
+@query(spelling.variants_sql())
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))

@@ -20,7 +20,8 @@ def odd_documents(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     from pyspark.sql import functions as F
 
-    extra = "_id _h _text n keep digest rate units label node score spans ids kept count value".split()
+    extra = ("_id _h _text n keep digest rate units label node score spans ids kept count value _file _row _copy part mask id "
+             "word form root").split()
     return df.withColumns({name: F.lit("clash") for name in extra})
 
 

@@ -16,4 +16,4 @@ def test_same_as_sql(spark, small, name):
 
 
 def test_ten_operators():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{i}" for i in range(1, 14)}
