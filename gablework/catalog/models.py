@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..models import grouped, kernel, linear, robust, trees
+from ..models import boosting, grouped, kernel, linear, robust, trees
 from ..models.linear import Lasso, Linear
 from ..operators import missing
 from ..operators.transformers import OneHot
@@ -110,12 +110,12 @@ def predicted(t: DataFrame, model) -> DataFrame:
 
 @query()
 def gbt_fit(t: DataFrame) -> DataFrame:
-    return predicted(t, presets.boosted(n_trees=10, rate=0.2).fit(t, COMPLETE, Y))
+    return predicted(t, presets.boosted(n_trees=30, rate=0.2).fit(t, COMPLETE, Y, key="id"))
 
 
 @query()
 def gbt_leafwise(t: DataFrame) -> DataFrame:
-    return predicted(t, presets.leafwise(n_trees=10).fit(t, COMPLETE, Y))
+    return predicted(t, presets.leafwise(n_trees=60).fit(t, COMPLETE, Y, key="id"))
 
 
 @query()
@@ -163,6 +163,74 @@ def gbt_stumps(t: DataFrame) -> DataFrame:
     return rounded(predicted(t, fit), 3, "prediction")
 
 
+# --- histogram boosting: Huber loss, best-first leaves, dropped trees; one feature, so that SQL can follow ------------
+
+# One round: residuals of {before}, their clipped gradients, the best cut of one feature, a value for each side.
+HUBER_ROUND = """
+, r{k} AS (SELECT id, x, y - f AS r FROM {before})
+, d{k} AS (SELECT quantile_cont(abs(r), 0.9) AS d FROM r{k})
+, c{k} AS (SELECT x, count(*)::double AS n, sum(greatest(least(r, d), -d)) AS s FROM r{k}, d{k} GROUP BY x)
+, o{k} AS (SELECT a.x AS cut, sum(b.n) FILTER (b.x <= a.x) AS nl, sum(b.s) FILTER (b.x <= a.x) AS sl,
+    sum(b.n) FILTER (b.x > a.x) AS nr, sum(b.s) FILTER (b.x > a.x) AS sr FROM c{k} a, c{k} b GROUP BY a.x)
+, b{k} AS (SELECT cut FROM o{k} WHERE nr > 0 ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)
+, m{k} AS (SELECT x <= cut AS low, median(r) AS m FROM r{k}, b{k} GROUP BY 1)
+, v{k} AS (SELECT low, m + avg(greatest(least(r - m, d), -d)) AS v
+    FROM r{k}, b{k}, d{k}, m{k} WHERE (x <= cut) = low GROUP BY low, m)
+, f{k} AS (SELECT p.id, p.x, p.y, p.f + 0.25::double * v AS f FROM {before} p, b{k}, v{k} WHERE (p.x <= cut) = low)
+"""
+
+
+@query("""
+, f0 AS (SELECT id, overall_qual AS x, sale_price AS y, median(sale_price) OVER () AS f FROM listings)
+""" + HUBER_ROUND.format(k=1, before="f0") + HUBER_ROUND.format(k=2, before="f1")
+       + "SELECT id, round(f, 3) AS prediction FROM f2")
+def gbt_huber(t: DataFrame) -> DataFrame:
+    fit = boosting.fit_boosting(t, ["overall_qual"], Y, n_trees=2, rate=0.25, depth=1, loss="huber")
+    return rounded(predicted(t, fit), 3, "prediction")
+
+
+# Strength of a side: its sum shrunk by l1, squared, over its count plus l2.
+LEAF_STRENGTH = "power(greatest(abs({s}) - 40000000, 0), 2) / ({n} + 500)"
+LEAF_CUTS = """
+, {name} AS (
+  SELECT *, {left} + {right} - {whole} AS gain FROM (
+    SELECT {of} a.x AS cut, sum(b.n) FILTER (b.x <= a.x) AS nl, sum(b.s) FILTER (b.x <= a.x) AS sl,
+      sum(b.n) FILTER (b.x > a.x) AS nr, sum(b.s) FILTER (b.x > a.x) AS sr, sum(b.n) AS n, sum(b.s) AS s
+    FROM {source} a JOIN {source} b ON {same} GROUP BY ALL) WHERE nr > 0 ORDER BY gain DESC LIMIT 1)
+"""
+_STRENGTHS = {side: LEAF_STRENGTH.format(s=s, n=n) for side, s, n in (("left", "sl", "nl"), ("right", "sr", "nr"), ("whole", "s", "n"))}
+
+
+@query("""
+, p AS (SELECT id, overall_qual AS x, sale_price - avg(sale_price) OVER () AS r, avg(sale_price) OVER () AS f FROM listings)
+, c AS (SELECT x, count(*)::double AS n, sum(r) AS s FROM p GROUP BY x)
+""" + LEAF_CUTS.format(name="one", of="", source="c", same="true", **_STRENGTHS)
+       + ", sided AS (SELECT c.*, x <= cut AS low FROM c, one)\n"
+       + LEAF_CUTS.format(name="two", of="a.low,", source="sided", same="a.low = b.low", **_STRENGTHS) + """
+, leafed AS (SELECT p.*, (x <= one.cut)::int * 2 + (x <= two.cut AND (x <= one.cut) = two.low)::int AS leaf FROM p, one, two)
+, leaves AS (SELECT leaf, sign(sum(r)) * greatest(abs(sum(r)) - 40000000, 0) / (count(*) + 500) AS v FROM leafed GROUP BY leaf)
+SELECT id, round(f + 0.5::double * v, 3) AS prediction FROM leafed JOIN leaves USING (leaf)""")
+def gbt_three_leaves(t: DataFrame) -> DataFrame:
+    """Best-first growth to three leaves, with penalties large enough to change cuts and values."""
+    fit = boosting.fit_boosting(t, ["overall_qual"], Y, n_trees=1, rate=0.5, depth=None, leaves=3, l1=4e7, l2=500.0)
+    return rounded(predicted(t, fit), 3, "prediction")
+
+
+# Every earlier tree is dropped in every round, so each tree is fitted to the same residuals and k trees weigh 1/k each.
+@query(FIRST_STUMP + """
+, base AS (SELECT avg(sale_price) AS f FROM listings)
+SELECT id, round(f + 0.5::double * (CASE WHEN overall_qual <= cut THEN lo ELSE hi END - f), 3) AS prediction
+FROM listings, first, base""")
+def gbt_dart(t: DataFrame) -> DataFrame:
+    fit = boosting.fit_boosting(t, ["overall_qual"], Y, n_trees=3, rate=0.5, depth=1, drop=1.0, skip_drop=0.0)
+    return rounded(predicted(t, fit), 3, "prediction")
+
+
+@query()
+def gbt_dart_leaves(t: DataFrame) -> DataFrame:
+    return predicted(t, presets.dart(n_trees=20).fit(t, COMPLETE, Y, key="id"))
+
+
 @query()
 def rbf_fit(t: DataFrame) -> DataFrame:
     from ..operators.transformers import StandardScale

@@ -43,6 +43,24 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``fresh_path`` named; frames that read it can't be used any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what runs inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative learners cut lineage with checkpoint(); give them a folder."""
     context = spark.sparkContext

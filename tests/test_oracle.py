@@ -8,7 +8,7 @@ from oracle_check import SMALL, compare, connect
 from gablework.catalog import ORACLES, QUERIES
 
 # Covered by tests of their own; each of these fits many models.
-SLOW = {"stack_meta", "sweep_stack", "grid_search_trees", "model_round_trip", "gbt_fit", "gbt_leafwise"}
+SLOW = {"stack_meta", "sweep_stack", "grid_search_trees", "model_round_trip", "gbt_fit", "gbt_leafwise", "gbt_dart_leaves"}
 
 
 @pytest.fixture(scope="module")
