@@ -60,16 +60,25 @@ class Scratch:
         self.paths = []
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """Add ``_file`` and ``_row``, where each row lies. A frame that is no plain scan of files is
-    written to the shared folder first."""
-    if {"_file", "_row"} <= set(docs.columns):
-        return docs
-    places = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
-    try:
-        return docs.withColumns(places)
-    except AnalysisException:
-        return stored(docs, "located").withColumns(places)
+def located(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with two more columns, the file and the row in it where each row lies, and the names of these columns, which
+    ``docs`` did not have. A frame that is no plain scan of files is written to the shared folder first."""
+    file, row = unused(docs, "_file"), unused(docs, "_row")
+    places = {file: F.col("_metadata.file_path"), row: F.col("_metadata.row_index")}
+    if "_metadata" not in docs.columns:  # a column of that name would hide the places
+        try:
+            return docs.withColumns(places), file, row
+        except AnalysisException:
+            pass
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    written = stored(docs.toDF(*names.values()), "located")
+    return written.select(*(F.col(new).alias(old) for old, new in names.items()),
+                          *(place.alias(name) for name, place in places.items())), file, row
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def unused(df: DataFrame, name: str) -> str:

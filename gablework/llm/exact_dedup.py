@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gablework.session import fresh_path
 
-from .common import located, stored, text_or_empty
+from .common import located, quoted, stored, text_or_empty
 
 #: The state on disk; without reserving megabytes ahead for each partition's small files.
 SETTINGS = {
@@ -63,12 +63,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are equal when their bytes are; a missing text counts as empty. Of equal texts the row with
     the largest id stays, and among repeats of that id the one that lies last (by file, then row), so exactly one row
     of each group is kept. A missing id is smaller than any other. An empty table gives no rows.
-    Further columns of ``docs`` are ignored, whatever their names, but ``_file`` and ``_row`` are taken as places.
+    Further columns of ``docs`` are ignored, whatever their names.
     """
-    spark = docs.sparkSession
-    rows = located(docs)
+    return _exact_groups(*located(docs), id_col, text_col, digest)
+
+
+def _exact_groups(rows: DataFrame, file: str, row: str, id_col: str, text_col: str,
+                  digest: Callable[[Column], Column] = sha256_digest) -> DataFrame:
+    spark = rows.sparkSession
     body = text_or_empty(text_col)
-    slim = rows.select(digest(body).alias("digest"), F.col(id_col).alias("id"), "_file", "_row")
+    places = [F.col(file).alias("_file"), F.col(row).alias("_row")]
+    slim = rows.select(digest(body).alias("digest"), F.col(id_col).alias("id"), *places)
     digests = fresh_path(spark, "exact-digests")
     slim.write.parquet(digests)
     slim = spark.read.schema(slim.schema).parquet(digests)
@@ -76,7 +81,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     feed(digests, slim.schema, state, spark)
     held = stored(kept_by_digest(state, spark), "exact-held")
 
-    texts = rows.select(digest(body).alias("digest"), F.col(id_col).alias("id"), "_file", "_row", body.alias("body"))
+    texts = rows.select(digest(body).alias("digest"), F.col(id_col).alias("id"), *places, body.alias("body"))
     hits = stored(texts.join(held.filter("n > 1"), "digest"), "exact-hits")
     place = F.struct("id", "_file", "_row")
     first = hits.filter(place == F.col("keep")).select("digest", F.col("body").alias("kept_body"))
@@ -102,6 +107,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` does not keep; all columns as they were."""
-    rows = located(docs)
-    dropped = exact_groups(rows, id_col, text_col).filter("not kept").select("_file", "_row")
-    return rows.join(dropped, ["_file", "_row"], "left_anti").select(*docs.columns)
+    rows, file, row = located(docs)
+    dropped = (_exact_groups(rows, file, row, id_col, text_col).filter("not kept")
+               .select(F.col("_file").alias(file), F.col("_row").alias(row)))
+    return rows.join(dropped, [file, row], "left_anti").select(*map(quoted, docs.columns))

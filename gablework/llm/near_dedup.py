@@ -9,9 +9,11 @@ coordinate with the odds of the weighted Jaccard similarity.
 
 Texts with equal words are one node from the start. Nodes that agree in a band of six coordinates are linked with the
 two ends of a shuffled order of that bucket, of which there are several, so a bucket of n gives 2 n candidates and
-a large group is held together by different leaders. Where this leaves members of several classes in a bucket, further
-leaders, more in each round, are compared with all its members of other classes, until every two nodes of a bucket
-have been compared or are of one class. Candidates are judged by their signatures when
+a large group is held together by different leaders. Where this leaves members of several classes in a bucket, as in a
+family of texts on one template, an exact join over the shingles of these members finds the rest: of two near texts, in the
+order from rare to common shingles, the first that they share lies early in both, so a shingle is a key for
+the few texts only that have it at their beginning, and texts that each differ from the template by edits of their own never meet.
+Candidates are judged by their signatures when
 these leave no doubt, and by their exact shingles otherwise; classes are the connected components of the links.
 """
 
@@ -22,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .byte_hashes import Rolling, mixed, text_bytes, word_hashes
-from .common import Scratch, in_batches, located, release, stored, text_or_empty, worker_cached
+from .common import Scratch, in_batches, located, quoted, release, stored, text_or_empty, unused, worker_cached
 from .components import components
 
 SHINGLE = 5
@@ -36,8 +38,8 @@ SIMILARITY = 0.8
 DOUBT = 0.1
 #: Shuffled orders among the buckets: a member of a large group is compared with about twice as many others.
 ORDERS = 4
-#: Further leaders of a bucket in the first round after its ends, and how many times as many each round after has.
-LEADERS, MORE = 16, 8
+#: Sizes of texts that meet are dealt into bins of this ratio.
+SIZE_STEP = 1.04
 PIECE = 1 << 20
 
 
@@ -178,21 +180,61 @@ def candidates(met: DataFrame) -> DataFrame:
             .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
 
 
-def undecided(active: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """band, node, label, top (the label of most nodes of the bucket) and others (its nodes of other labels), for buckets of
-    (band, node) whose nodes are not all of one label."""
-    named = scratch.keep(active.join(labels, "node", "left").select(
+def undecided(met: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, label of the members of buckets of ``met`` whose members are not all of one label."""
+    named = scratch.keep(met.filter("n > 2").join(labels, "node", "left").select(
         "band", "node", F.coalesce("label", "node").alias("label")), "near-named")
-    tops = (named.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
-            .agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
-            .filter("kinds > 1").select("band", F.col("most.label").alias("top"), (F.col("all") - F.col("most.n")).alias("others")))
-    return scratch.keep(named.join(scratch.keep(tops, "near-tops"), "band"), "near-active")
+    mixed_bands = (named.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+                   .filter("least < most").select("band"))
+    return named.join(scratch.keep(mixed_bands, "near-bands"), "band").select("node", "label").distinct()
 
 
-def elected(active: DataFrame, leaders: int, turn: int) -> DataFrame:
-    """About ``leaders`` nodes of each bucket of ``undecided``, or all if there are no more, among those not of its top label."""
-    dealt = F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.lit(1_000_000)) / 1_000_000
-    return active.filter((F.col("label") != F.col("top")) & (dealt < F.lit(leaders) / F.col("others"))).select("band", "node", "label")
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """node, label, total (weight of all shingles), shingle, weight of texts with node, label and _words."""
+    in_batches(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            element, weight, doc = weighted(*shingles(*text_bytes(batch.column("_words"))))
+            total = np.bincount(doc, weight, batch.num_rows)
+            node, label = (batch.column(c).to_numpy() for c in ("node", "label"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (node[doc], label[doc], total[doc], element.view(np.int64), weight)],
+                ["node", "label", "total", "shingle", "weight"])
+
+    return texts.select("node", "label", "_words").mapInArrow(run, "node long, label long, total double, shingle long, weight double")
+
+
+def sharing(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of texts (node, label, _words) of different labels that can be similar: all that are, and few others.
+
+    Similar texts have an overlap of at least s / (1 + s) of their weights together. In any order common to all texts, what a
+    text holds from the first shared shingle on bounds the overlap, so that shingle lies within the first 1 - s of the larger
+    text and the first (1 - s) / (1 + s) of the smaller one. The order is from rare to common, which makes these
+    beginnings differ where the texts do.
+    """
+    rows = scratch.keep(shingle_rows(texts), "near-shingles")
+    shared = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("label").alias("least"), F.max("label").alias("most"))
+              .filter("texts > 1"))
+    onward = Window.partitionBy("node").orderBy("texts", "shingle").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    slack = 1e-9
+    early = (rows.join(scratch.keep(shared, "near-shared"), "shingle").withColumn("rest", F.sum("weight").over(onward))
+             .filter((F.col("rest") >= similarity * F.col("total") - slack) & (F.col("least") < F.col("most"))))
+    early = scratch.keep(early.select("shingle", "node", "label", "total", "rest"), "near-early")
+    share = similarity / (1 + similarity)
+
+    def size(weight: Column) -> Column:
+        return F.floor(F.log(weight) / math.log(SIZE_STEP)).cast("int")
+
+    small = early.filter(F.col("rest") >= 2 * share * F.col("total") - slack).withColumn("bin", size(F.col("total"))).alias("small")
+    most = F.least(F.col("total"), F.col("rest") / share - F.col("total"))
+    least = similarity * F.col("total") - slack
+    large = early.filter(most >= least).withColumn("bin", F.explode(F.sequence(size(least), size(most + slack)))).alias("large")
+    both = share * (F.col("small.total") + F.col("large.total")) - slack
+    pairs = small.join(large, ["shingle", "bin"]).filter(
+        (F.col("small.label") != F.col("large.label")) & (F.col("small.total") <= F.col("large.total"))
+        & (F.col("small.rest") >= both) & (F.col("large.rest") >= both))
+    return pairs.select(F.least("small.node", "large.node").alias("a"), F.greatest("small.node", "large.node").alias("b")).distinct()
 
 
 def judged(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -241,9 +283,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Of each class the row with the least id is kept, the first by place among repeats of it; a missing id comes first.
     An empty table gives no rows. Other columns are left out, whatever their names.
     """
-    spark = docs.sparkSession
-    rows = located(docs).select(F.col(id_col).alias("id"), F.xxhash64("_file").alias("_f"), "_row",
-                                words(text_or_empty(text_col)).alias("_words"))
+    located_rows, file, row = located(docs)
+    return _near_classes(located_rows, file, row, id_col, text_col, similarity)
+
+
+def _near_classes(located_rows: DataFrame, file: str, row: str, id_col: str, text_col: str, similarity: float) -> DataFrame:
+    spark = located_rows.sparkSession
+    rows = located_rows.select(F.col(id_col).alias("id"), F.xxhash64(file).alias("_f"), F.col(row).alias("_row"),
+                               words(text_or_empty(text_col)).alias("_words"))
     scratch = Scratch(spark)
     table = scratch.keep(signed(rows), "near-signatures")
     heads = table.filter("n > 0").groupBy("h1", "h2").agg(F.min("node").alias("head"))
@@ -260,28 +307,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return stored(sure.union(exact.select("a", "b")), "near-links")
 
     met = shared_buckets(nodes.select("node", "sig"), scratch)
-    seen = scratch.keep(candidates(met), "near-candidates")
-    links = linked(seen)
+    links = linked(scratch.keep(candidates(met), "near-candidates"))
     labels = components(links)
-    # Members of a bucket that are neither of one class nor compared yet: further leaders meet all that are left of other classes.
-    left, leaders, turn = met.filter("n > 2 and node <> low and node <> high").select("band", "node"), LEADERS, 0
-    while True:
-        active = undecided(left, labels, scratch)
-        if active.isEmpty():
-            break
-        lead = scratch.keep(elected(active, leaders, turn), "near-leaders")
-        one, two = lead.alias("one"), active.alias("two")
-        pairs = (one.join(two, (F.col("one.band") == F.col("two.band")) & (F.col("one.label") != F.col("two.label")))
-                 .select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct())
-        pairs = scratch.keep(pairs.join(seen, ["a", "b"], "left_anti"), "near-candidates")
-        if not pairs.isEmpty():
-            found = linked(pairs)
-            if not found.isEmpty():
-                links = stored(links.union(found), "near-links")
-                labels = components(links)
-        seen = seen.union(pairs)
-        left = active.join(lead.select("band", "node"), ["band", "node"], "left_anti").select("band", "node")
-        leaders, turn = leaders * MORE, turn + 1
+    open_nodes = scratch.keep(undecided(met, labels, scratch), "near-open")
+    if not open_nodes.isEmpty():
+        placed = nodes.join(open_nodes, "node").select("node", "label", "_f", "_row")
+        texts = scratch.keep(rows.join(placed, ["_f", "_row"]).select("node", "label", "_words"), "near-open-texts")
+        found = linked(scratch.keep(sharing(texts, similarity, scratch), "near-candidates"))
+        if not found.isEmpty():
+            links = stored(links.union(found), "near-links")
+            labels = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("n_links"))
 
     in_class = (table.select("id", "_f", "_row", "node", F.when(F.col("n") > 0, F.col("h1")).otherwise(F.col("node")).alias("h1"),
@@ -304,6 +339,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class of ``near_classes``; all columns as they were."""
-    rows = located(docs)
-    dropped = near_classes(rows, id_col, text_col, similarity).filter("not kept").select("_f", "_row")
-    return (rows.withColumn("_f", F.xxhash64("_file")).join(dropped, ["_f", "_row"], "left_anti").select(*docs.columns))
+    rows, file, row = located(docs)
+    place, line = unused(rows, "_place"), unused(rows, "_line")
+    dropped = (_near_classes(rows, file, row, id_col, text_col, similarity).filter("not kept")
+               .select(F.col("_f").alias(place), F.col("_row").alias(line)))
+    named = rows.withColumn(place, F.xxhash64(file)).withColumn(line, F.col(row))
+    return named.join(dropped, [place, line], "left_anti").select(*map(quoted, docs.columns))

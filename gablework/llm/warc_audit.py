@@ -88,10 +88,10 @@ def archive(pages: DataFrame, id_col: str = "page_id", url: str = "url", body: s
     Missing urls and bodies count as empty. Other columns are left out, whatever their names. With ``replica_body`` there is also
     replica_digest, of the record with that body (none where it is missing: the replica lost the record).
     """
-    rows = located(pages)
+    rows, file, row = located(pages)
     whole = record(F.col(url), F.col(body))
     columns = [F.col(id_col).alias("id"), F.sha2(whole, 256).alias("digest"),
-               F.octet_length(whole).cast("long").alias("n_bytes"), "_file", "_row"]
+               F.octet_length(whole).cast("long").alias("n_bytes"), F.col(file).alias("_file"), F.col(row).alias("_row")]
     if replica_body is not None:
         columns.append(F.when(replica_body.isNotNull(), F.sha2(record(F.col(url), replica_body), 256)).alias("replica_digest"))
     return laid_out(rows.select(*columns), ["id", "digest", "_file", "_row"]).drop("_file", "_row")

@@ -273,6 +273,50 @@ def test_near_pairs_inside_a_template_family(spark):
     assert got == {i: (i - i % 2, 2) for i, _ in rows}
 
 
+def test_sharing_finds_all_near_pairs(spark):
+    """Families of edited texts with repeated words: the join gives every near pair of two labels, and few others."""
+    from gablework.llm.common import Scratch
+
+    rnd = random.Random(9)
+    rows = []
+    for family in range(6):
+        words = [f"f{family}w{rnd.randrange(40)}" for _ in range((60, 61, 90, 200, 7, 400)[family])]
+        for _ in range(60):
+            share = rnd.choice((0.0, 0.01, 0.02, 0.05))
+            edited = [f"e{rnd.randrange(30)}" if rnd.random() < share else w for w in words]
+            cut = rnd.randrange(len(words) // 8 + 1) if rnd.random() < 0.3 else 0
+            rows.append((len(rows), " ".join(edited[cut:])))
+    texts = spark.createDataFrame([(i, i % 7, t) for i, t in rows], "node long, label long, _words string").repartition(3)
+    scratch = Scratch(spark)
+    found = {(r.a, r.b) for r in near_dedup.sharing(texts, 0.8, scratch).collect()}
+    scratch.delete()
+    bags = bags_of(rows)
+
+    def likeness(a, b):
+        same = sum((bags[a] & bags[b]).values())
+        return same / (sum(bags[a].values()) + sum(bags[b].values()) - same)
+
+    pairs = [(a, b) for a in bags for b in bags if a < b and a % 7 != b % 7]
+    near = {p for p in pairs if likeness(*p) >= 0.8}
+    assert near <= found and all(a % 7 != b % 7 for a, b in found) and len(near) > 500
+    assert len(found) < 0.5 * sum(a // 60 == b // 60 for a, b in pairs)
+
+
+def test_families_of_own_edits_do_not_meet(spark):
+    """Texts that differ from one template by edits of their own: the join compares next to none of their pairs."""
+    from gablework.llm.common import Scratch
+
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, i, " ".join(f"e{i}x{j}" if rnd.random() < 0.05 else w for j, w in enumerate(words))) for i in range(300)]
+    scratch = Scratch(spark)
+    found = near_dedup.sharing(spark.createDataFrame(rows, "node long, label long, _words string"), 0.8, scratch).collect()
+    scratch.delete()
+    bags = bags_of([(i, t) for i, _, t in rows])
+    near = [(a, b) for a in bags for b in bags if a < b and sum((bags[a] & bags[b]).values()) / sum((bags[a] | bags[b]).values()) >= 0.8]
+    assert set(near) <= {(r.a, r.b) for r in found} and len(found) < 0.1 * 300 * 299 / 2
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(2)
     element = rng.integers(1, 2 ** 62, 400).astype(np.uint64)
@@ -293,6 +337,9 @@ def test_near_edges(odd_documents, no_documents):
     assert len(got) == odd_documents.count()
     assert len({r.class_id for r in got if r.id in (3, 4)}) == 1
     assert sorted(r.kept for r in got if r.id in (5, 6)) == [False, False, True]
+    named = odd_documents.withColumn("_metadata", F.lit("mine")).withColumn("a`b.c", F.lit(1))
+    assert near_dedup.drop_near_copies(named).columns == named.columns
+    assert near_dedup.drop_near_copies(named).filter("_metadata <> 'mine' or _file <> 'clash'").count() == 0
     kept = near_dedup.drop_near_copies(odd_documents)
     assert kept.columns == odd_documents.columns and kept.count() == sum(r.kept for r in got)
     assert near_dedup.near_classes(no_documents).count() == 0
