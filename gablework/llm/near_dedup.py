@@ -7,8 +7,8 @@ coordinate keeps its dart of least rank. Only ranks up to about (K ln K + 3 K) /
 a signature costs the same for short and long texts beyond reading them. Two signatures agree in a
 coordinate with the odds of the weighted Jaccard similarity.
 
-Texts with equal words are one node from the start. Nodes that agree in a band of six coordinates are linked with the
-two ends of a shuffled order of that bucket, of which there are several, so a bucket of n gives 2 n candidates and
+Texts with equal words are one node from the start. Nodes that agree in a band of six coordinates are compared with the
+head of a shuffled order of that bucket, of which there are two, so a bucket of n gives n candidates and
 a large group is held together by different leaders. Where this leaves members of several classes in a bucket, as in a
 family of texts on one template, an exact join over the shingles of these members finds the rest: of two near texts, in the
 order from rare to common shingles, the first that they share lies early in both, so a shingle is a key for
@@ -36,8 +36,8 @@ COORDINATES = ROWS * BANDS
 SIMILARITY = 0.8
 #: Signatures within this distance of the threshold (four standard errors) are settled by exact shingles.
 DOUBT = 0.1
-#: Shuffled orders among the buckets: a member of a large group is compared with about twice as many others.
-ORDERS = 4
+#: Shuffled orders among the buckets (a power of two).
+ORDERS = 2
 #: Sizes of texts that meet are dealt into bins of this ratio.
 SIZE_STEP = 1.04
 PIECE = 1 << 20
@@ -161,23 +161,20 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def shared_buckets(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """band, node, low and high (the nodes at the ends of the bucket's shuffled order) and n (its nodes), where n > 1."""
+    """band, node, low (the node at the head of the bucket's shuffled order) and n (its nodes), where n > 1."""
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
         b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
     rows = nodes.select("node", F.explode(bands).alias("band"))
     shuffle = F.xxhash64(F.col("band").bitwiseAND(F.lit(ORDERS - 1)), F.lit(7))
-    ends = (rows.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(shuffle)).alias("low"),
-                                     F.max(F.col("node").bitwiseXOR(shuffle)).alias("high"), F.count(F.lit(1)).alias("n"))
-            .filter("low <> high"))
-    ends = scratch.keep(ends, "near-buckets")  # written first, so that the join can split a hot bucket
-    ends_of = (F.col(end).bitwiseXOR(shuffle).alias(end) for end in ("low", "high"))
-    return scratch.keep(rows.join(ends, "band").select("band", "node", *ends_of, "n"), "near-met")
+    heads = (rows.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(shuffle)).alias("low"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1"))
+    heads = scratch.keep(heads, "near-buckets")  # written first, so that the join can split a hot bucket
+    return scratch.keep(rows.join(heads, "band").select("band", "node", F.col("low").bitwiseXOR(shuffle).alias("low"), "n"), "near-met")
 
 
 def candidates(met: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes that share a bucket of ``met`` with a or b at one of its ends."""
-    return (met.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node <> other")
-            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+    """Pairs (a, b) of nodes that share a bucket of ``met`` with a or b at its head."""
+    return (met.filter("node <> low").select(F.least("node", "low").alias("a"), F.greatest("node", "low").alias("b")).distinct())
 
 
 def undecided(met: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
