@@ -8,8 +8,7 @@ a signature costs the same for short and long texts beyond reading them. Two sig
 coordinate with the odds of the weighted Jaccard similarity.
 
 Texts with equal words are one node from the start. Nodes that agree in a band of six coordinates are compared with the
-head of a shuffled order of that bucket, of which there are two, so a bucket of n gives n candidates and
-a large group is held together by different leaders. Where this leaves members of several classes in a bucket, as in a
+least node of that bucket, so a bucket of n gives n candidates and a large group is held together by few leaders. Where this leaves members of several classes in a bucket, as in a
 family of texts on one template, an exact join over the shingles of these members finds the rest: of two near texts, in the
 order from rare to common shingles, the first that they share lies early in both, so a shingle is a key for
 the few texts only that have it at their beginning, and texts that each differ from the template by edits of their own never meet.
@@ -36,8 +35,6 @@ COORDINATES = ROWS * BANDS
 SIMILARITY = 0.8
 #: Signatures within this distance of the threshold (four standard errors) are settled by exact shingles.
 DOUBT = 0.1
-#: Shuffled orders among the buckets (a power of two).
-ORDERS = 2
 #: Sizes of texts that meet are dealt into bins of this ratio.
 SIZE_STEP = 1.04
 PIECE = 1 << 20
@@ -161,15 +158,13 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def shared_buckets(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """band, node, low (the node at the head of the bucket's shuffled order) and n (its nodes), where n > 1."""
+    """band, node, low (the least node of the bucket) and n (its nodes), where n > 1."""
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
         b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
     rows = nodes.select("node", F.explode(bands).alias("band"))
-    shuffle = F.xxhash64(F.col("band").bitwiseAND(F.lit(ORDERS - 1)), F.lit(7))
-    heads = (rows.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(shuffle)).alias("low"), F.count(F.lit(1)).alias("n"))
-             .filter("n > 1"))
+    heads = rows.groupBy("band").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     heads = scratch.keep(heads, "near-buckets")  # written first, so that the join can split a hot bucket
-    return scratch.keep(rows.join(heads, "band").select("band", "node", F.col("low").bitwiseXOR(shuffle).alias("low"), "n"), "near-met")
+    return scratch.keep(rows.join(heads, "band").select("band", "node", "low", "n"), "near-met")
 
 
 def candidates(met: DataFrame) -> DataFrame:
@@ -186,6 +181,16 @@ def undecided(met: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     return named.join(scratch.keep(mixed_bands, "near-bands"), "band").select("node", "label").distinct()
 
 
+def joined_classes(labels: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links among ``nodes`` (node, label): only the classes that they join are gone through again."""
+    ends = [nodes.select(F.col("node").alias(end), F.col("label").alias(f"class_{end}")) for end in ("a", "b")]
+    classes = links.join(ends[0], "a").join(ends[1], "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    moved = components(classes)
+    onto = moved.select(F.col("node").alias("label"), F.col("label").alias("onto"))
+    kept = labels.join(onto, "label", "left").select("node", F.coalesce("onto", "label").alias("label"))
+    return stored(kept.union(moved.join(labels, "node", "left_anti").select("node", "label")), "near-labels")
+
+
 def shingle_rows(texts: DataFrame) -> DataFrame:
     """node, label, total (weight of all shingles), shingle, weight of texts with node, label and _words."""
     in_batches(texts.sparkSession)
@@ -312,8 +317,8 @@ def _near_classes(located_rows: DataFrame, file: str, row: str, id_col: str, tex
         texts = scratch.keep(rows.join(placed, ["_f", "_row"]).select("node", "label", "_words"), "near-open-texts")
         found = linked(scratch.keep(sharing(texts, similarity, scratch), "near-candidates"))
         if not found.isEmpty():
-            links = stored(links.union(found), "near-links")
-            labels = components(links)
+            labels = joined_classes(labels, open_nodes, found)
+            links = links.union(found)
     degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("n_links"))
 
     in_class = (table.select("id", "_f", "_row", "node", F.when(F.col("n") > 0, F.col("h1")).otherwise(F.col("node")).alias("h1"),
