@@ -213,7 +213,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     several = (shared.join(classes.filter("w > 1").select("g", "s"), ["g", "s"])
                .select("_id", "_h", F.struct(F.col("lo").alias("start"), F.expr(
                    f"lo + (de & 4294967295) + {window}").alias("stop")).alias("span")))
-    spans = stored(single.unionByName(several).groupBy("_id", "_h").agg(F.collect_list("span").alias("spans")),
+    # Rows repeated with one id and text bring the same spans, which are merged inside the tasks first.
+    spans = stored(single.unionByName(several).groupBy("_id", "_h").agg(F.collect_set("span").alias("spans")),
                    "suffix-spans")
     scratch.delete()
     release(spark)
