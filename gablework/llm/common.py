@@ -9,7 +9,7 @@ import types
 from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gablework.session import fresh_path
 
@@ -76,6 +76,22 @@ def located(docs: DataFrame) -> tuple[DataFrame, str, str]:
                           *(place.alias(name) for name, place in places.items())), file, row
 
 
+def numbered(df: DataFrame, order: list[str], name: str, label: str) -> DataFrame:
+    """``df`` with the column ``name``: the number of each row, from 0, in ``order``, which has to tell all rows apart.
+
+    Rows are dealt by ranges, counted, and numbered inside each range, so the numbers depend on the rows only and no
+    value, however frequent, puts all its rows into one task.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), label)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as there are ranges
+    starts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return (dealt.withColumn("_inside", inside).join(F.broadcast(starts), "_range")
+            .withColumn(name, F.col("_start") + F.col("_inside")).drop("_range", "_start", "_inside"))
+
+
 def quoted(name: str) -> Column:
     """A column by its exact name."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -88,24 +88,51 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 WITH bodies AS (
   SELECT page_id, coalesce(url, '') AS u, coalesce(html, '') AS b,
     CASE WHEN page_id % 101 = 7 THEN NULL
-      WHEN page_id % 97 = 5 THEN substr(coalesce(html, ''), 1, length(coalesce(html, '')) // 2) ELSE coalesce(html, '') END AS r
+      WHEN page_id % 97 = 5 THEN substr(coalesce(html, ''), 1, length(coalesce(html, '')) // 2) ELSE coalesce(html, '') END AS r,
+    coalesce(page_id % 89 = 3 AND page_id % 97 <> 5, false) AS moved
   FROM pages),
 records AS (
   SELECT page_id, 'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:md5:' || md5(u || ' ' || b) || '>' || e
     || 'WARC-Target-URI: ' || u || e || 'Content-Type: text/html' || e || 'Content-Length: ' || strlen(b)::varchar || e || e || b || e || e AS w,
-    r IS NULL AS lost, r <> b AS cut FROM bodies, (SELECT chr(13) || chr(10) AS e))
-SELECT page_id, strlen(w) AS n_bytes, sha256(w) AS record_sha256,
-  CASE WHEN lost THEN 'missing' WHEN cut THEN 'changed' ELSE 'ok' END AS status FROM records""")
+    r IS NULL AS lost, r <> b AS cut, moved FROM bodies, (SELECT chr(13) || chr(10) AS e)),
+digests AS (SELECT page_id, strlen(w) AS n_bytes, sha256(w) AS digest, lost, cut, moved FROM records),
+ordered AS (SELECT *, row_number() OVER (ORDER BY page_id NULLS FIRST, digest) - 1 AS leaf FROM digests),
+placed AS (
+  SELECT *, leaf // 4096 AS file, coalesce(sum(n_bytes) OVER (
+    PARTITION BY leaf // 4096 ORDER BY leaf ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS offset FROM ordered),
+ranges AS (
+  SELECT file, "offset" >> 16 AS part, sha256(string_agg(
+    concat_ws(':', file, "offset", n_bytes, digest), ',' ORDER BY "offset")) AS hash FROM placed GROUP BY ALL),
+wide AS (
+  SELECT file, part >> 8 AS part, sha256(string_agg(concat_ws(':', file, part, hash), ',' ORDER BY part)) AS hash FROM ranges GROUP BY ALL),
+files AS (SELECT file, sha256(string_agg(concat_ws(':', file, part, hash), ',' ORDER BY part)) AS file_sha256 FROM wide GROUP BY file),
+gone AS (
+  SELECT leaf, digest, row_number() OVER (PARTITION BY digest ORDER BY file::varchar, "offset") AS nth FROM placed WHERE lost OR moved),
+fresh AS (
+  SELECT digest, file + 1000000 AS moved_file, "offset" AS moved_offset,
+    row_number() OVER (PARTITION BY digest ORDER BY (file + 1000000)::varchar, "offset") AS nth FROM placed WHERE moved AND NOT lost)
+SELECT page_id, n_bytes, p.digest AS record_sha256, p.file, p."offset", file_sha256, moved_file, moved_offset,
+  CASE WHEN g.leaf IS NOT NULL THEN CASE WHEN moved_file IS NULL THEN 'missing' ELSE 'moved' END
+    WHEN cut THEN 'changed' ELSE 'ok' END AS status
+FROM placed p JOIN files USING (file) LEFT JOIN gone g ON g.leaf = p.leaf
+LEFT JOIN fresh f ON f.digest = g.digest AND f.nth = g.nth""")
 def op8_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages as WARC records beside a replica in which one page of 97 is cut in half and one of 101 is lost."""
+    """Pages as WARC records beside a replica in which one page of 97 is cut in half, one of 101 is lost and one of 89 lies in
+    another file; each with its place and the hash of its file's node."""
     body = F.coalesce("html", F.lit(""))
     damaged = (F.when(F.col("page_id") % 101 == 7, F.lit(None))
                .when(F.col("page_id") % 97 == 5, F.expr("substring(coalesce(html, ''), 1, int(length(coalesce(html, '')) div 2))"))
                .otherwise(body))
     records = warc_audit.stored(warc_audit.archive(table(spark, folder, "pages"), replica_body=damaged), "warc-records")
-    replica = records.filter("replica_digest is not null").select("leaf", F.col("replica_digest").alias("digest"))
-    return warc_audit.audit(records, replica).select(
-        F.col("id").alias("page_id"), "n_bytes", F.col("digest").alias("record_sha256"), "status")
+    elsewhere = (F.col("id") % 89 == 3) & (F.col("id") % 97 != 5)
+    replica = records.filter("replica_digest is not null").select(
+        F.when(elsewhere, F.col("file") + 1_000_000).otherwise(F.col("file")).alias("file"), "offset",
+        F.col("replica_bytes").alias("n_bytes"), F.col("replica_digest").alias("digest"))
+    levels = warc_audit.tree(records)
+    files = levels[3].select(F.col("file").cast("long").alias("file"), F.col("hash").alias("file_sha256"))
+    return warc_audit.audit(records, replica, levels).join(files, "file", "left").select(
+        F.col("id").alias("page_id"), "n_bytes", F.col("digest").alias("record_sha256"), "file", "offset", "file_sha256",
+        "moved_file", "moved_offset", "status")
 
 
 @query()
