@@ -13,7 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored
+from .common import located, numbered, quoted, stored, unused
 
 #: Means above this are summed from equal parts, as exp(-mean) would vanish.
 LARGEST_PART = 256.0
@@ -82,19 +82,42 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, f
     not name gets none, so its rows go. Without weights a source's share is its units to the power ``flatten``.
     The result has about ``epochs`` times the units of the input. Units are characters, at least one
     a row, so empty and missing texts are mixed too. Columns are those of ``docs`` and ``_copy``
-    (1, 2, ...); rows are dealt by a hash of seed, id, text and copy, and lie in that order.
-    Repeated rows get equal counts. An empty table gives an empty one.
+    (1, 2, ...; with more underscores if ``docs`` has such a column); rows are dealt by a hash of seed, id, text and
+    copy, and lie in that order. Rows repeated with the same id and text are numbered and draw for themselves, so
+    a source of equal rows meets its weight too, and their copies are spread. An empty table gives an empty one.
     """
+    names = {n: unused(docs, n) for n in ("_mix_source", "_mix_rate", "_mix_n", "_mix_deal", "_mix_nth", "_copy")}
+    units, rate, many, deal, nth, copy = names.values()
     # Stored, so that its size is known: it is broadcast while small, else joined without a hint.
-    rate = stored(rates(docs, source, text, weights, flatten, epochs), "mixing-rates")
-    key = [F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")))]
-    counted = (docs.join(rate, F.col(source).eqNullSafe(F.col("_mix_source")))
-               .withColumn("_mix_n", copies(seed, key, F.col("_mix_rate"))).filter("_mix_n > 0"))
-    rows = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
-    deal = F.xxhash64(F.lit(seed), *key, F.col("_copy"))
-    rows = rows.withColumn("_mix_deal", deal)
-    rows = rows.repartition(partitions, "_mix_deal") if partitions else rows.repartition("_mix_deal")
-    return rows.sortWithinPartitions("_mix_deal").select(*docs.columns, "_copy")
+    wanted = stored(rates(docs, source, text, weights, flatten, epochs), "mixing-rates").toDF(units, rate)
+    plain = [F.coalesce(quoted(id_col).cast("string"), F.lit("")), F.coalesce(quoted(text), F.lit(""))]
+    key = [plain[0], F.md5(plain[1]), F.when(F.col(nth) > 0, F.col(nth).cast("string"))]
+    rows = with_occurrence(docs, F.xxhash64(*plain), nth)
+    rows = rows.join(wanted, quoted(source).eqNullSafe(F.col(units))).withColumn(many, copies(seed, key, F.col(rate)))
+    rows = rows.filter(F.col(many) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(many))))
+    rows = rows.withColumn(deal, F.xxhash64(F.lit(seed), *key, F.col(copy)))
+    rows = rows.repartition(partitions, deal) if partitions else rows.repartition(deal)
+    return rows.sortWithinPartitions(deal).select(*map(quoted, docs.columns), copy)
+
+
+def with_occurrence(docs: DataFrame, same: Column, name: str) -> DataFrame:
+    """``docs`` with the column ``name``: how many rows of equal ``same`` come before each row, by their places.
+
+    Only rows that have an equal one are numbered, by ranges of (same, place), so a frequent row is split.
+    """
+    counts = docs.select(same.alias("same")).groupBy("same").agg(F.count(F.lit(1)).alias("n"))
+    repeated = stored(counts.filter("n > 1").select("same"), "mixing-repeated")
+    if repeated.isEmpty():
+        return docs.withColumn(name, F.lit(0).cast("long"))
+    rows, file, row = located(docs)
+    places = rows.select(same.alias("same"), F.col(file).alias("file"), F.col(row).alias("row")).join(repeated, "same")
+    placed = stored(numbered(places, ["same", "file", "row"], "place", "mixing-places"), "mixing-numbers")
+    firsts = stored(placed.groupBy("same").agg(F.min("place").alias("first")), "mixing-firsts")
+    found = {c: unused(rows, c) for c in ("_mix_file", "_mix_row")}
+    nth = placed.join(firsts, "same").select(F.col("file").alias(found["_mix_file"]), F.col("row").alias(found["_mix_row"]),
+                                             (F.col("place") - F.col("first")).alias(name))
+    here = (F.col(file) == F.col(found["_mix_file"])) & (F.col(row) == F.col(found["_mix_row"]))
+    return rows.join(nth, here, "left").withColumn(name, F.coalesce(name, F.lit(0))).select(*map(quoted, docs.columns), name)
 
 
 def mix_sql(flatten: float = 0.5, epochs: float = 1.0, seed: int = 17) -> str:
@@ -107,19 +130,21 @@ rates AS (
   SELECT source, round({epochs} * (SELECT sum(units) FROM shares)::double * share
     / (SELECT sum(share) FROM shares) / units, 9) AS rate FROM shares),
 parts AS (
-  SELECT doc_id, d.source, md5(coalesce(text, '')) AS h, rate, greatest(1, ceil(rate / {LARGEST_PART}))::int AS parts
+  SELECT doc_id, d.source, md5(coalesce(text, '')) AS h, rate, greatest(1, ceil(rate / {LARGEST_PART}))::int AS parts,
+    row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) - 1 AS nth
   FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source WHERE rate > 0),
 draws AS (
-  SELECT doc_id, source, h, part, rate / parts AS mean,
-    (('0x' || substr(md5(concat_ws('|', '{seed}', coalesce(doc_id::varchar, ''), h, part::varchar)), 1, {HEX}))::bigint::double
+  SELECT doc_id, source, h, nth, part, rate / parts AS mean,
+    (('0x' || substr(md5(concat_ws('|', '{seed}', coalesce(doc_id::varchar, ''), h, CASE WHEN nth > 0 THEN nth::varchar END,
+      part::varchar)), 1, {HEX}))::bigint::double
       + 0.5) / {float(16 ** HEX)} AS u
   FROM (SELECT *, unnest(range(1, parts + 1)) AS part FROM parts)),
 walk AS (
-  SELECT doc_id, source, h, part, mean, u, 0 AS k, exp(-mean) AS p, exp(-mean) AS c FROM draws
+  SELECT doc_id, source, h, nth, part, mean, u, 0 AS k, exp(-mean) AS p, exp(-mean) AS c FROM draws
   UNION ALL
-  SELECT doc_id, source, h, part, mean, u, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM walk
+  SELECT doc_id, source, h, nth, part, mean, u, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM walk
   WHERE c <= u AND k < ceil(mean + 12 * sqrt(mean) + 40)),
 counts AS (
-  SELECT doc_id, source, h, sum(k) AS n FROM (
-    SELECT doc_id, source, h, part, max(k) AS k FROM walk GROUP BY ALL) GROUP BY ALL)
+  SELECT doc_id, source, h, nth, sum(k) AS n FROM (
+    SELECT doc_id, source, h, nth, part, max(k) AS k FROM walk GROUP BY ALL) GROUP BY ALL)
 SELECT doc_id, source, unnest(range(1, n::bigint + 1))::int AS copy FROM counts"""
