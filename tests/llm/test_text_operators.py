@@ -64,6 +64,16 @@ def test_suffix_dedup_edges(spark, monkeypatch):
     assert suffix_dedup.remove_repeats(df.filter("false")).count() == 0
 
 
+def test_suffix_dedup_of_repeated_rows(spark):
+    """Rows repeated under one id bring their spans once, however often they come."""
+    text = " ".join(f"word{i * i}" for i in range(300))
+    df = spark.createDataFrame([(None, text)] * 400 + [(1, "x" + text[:500]), (2, "short")], "doc_id long, text string")
+    keyed = df.selectExpr("coalesce(doc_id, -9) AS _id", "xxhash64(text) AS _h", "text AS _text")
+    assert max(len(r.spans) for r in suffix_dedup.repeated_spans(keyed).collect()) < 2 * len(text) / 64
+    got = removal(df, 200)
+    assert got[(None, len(text), len(text), 1, b"")] == 400 and got[(1, 501, 500, 1, b"x")] == 1
+
+
 def test_suffix_dedup_long_text_in_pieces():
     rnd = np.random.default_rng(1)
     block = rnd.integers(97, 123, 5000).astype(np.uint8)
@@ -116,11 +126,26 @@ def test_mixing_meets_weights(spark):
 
 def test_mixing_edges(odd_documents, no_documents):
     mixed = mixing.mix(odd_documents, epochs=30.0)
-    assert set(mixed.columns) == {*odd_documents.columns, "_copy"} and mixed.count() > 0
+    assert mixed.columns == [*odd_documents.columns, "_copy_"] and mixed.count() > 0
+    assert {r._copy for r in mixed.collect()} == {"clash"}
     assert mixing.mix(no_documents).count() == 0
     assert {r.source for r in mixing.mix(odd_documents, {None: 1.0}, epochs=5.0).collect()} == {None}
 
 
+def test_mixing_of_equal_rows(spark):
+    """Equal rows draw for themselves, so their source meets its weight, and their copies are spread."""
+    docs = spark.createDataFrame([(1, "the same text", "a")] * 4000 + [(i, f"text {i}", "b") for i in range(2, 2000)],
+                                 "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, {"a": 1.0, "b": 1.0}, epochs=2.0, partitions=8)
+    units = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(F.length("text")).alias("n")).collect()}
+    total = docs.agg(F.sum(F.length("text"))).first()[0]
+    assert abs(units["a"] / total - 1) < 0.08 and abs(units["b"] / total - 1) < 0.08
+    parts = [r.n for r in mixed.filter("source = 'a'").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(parts) == 8 and max(parts) < 2 * min(parts)
+    again = mixing.mix(docs.repartition(7), {"a": 1.0, "b": 1.0}, epochs=2.0)
+    assert sorted(again.collect()) == sorted(mixed.collect())
+
+
 # 3 -- licenses
 
 @pytest.fixture(scope="module")
@@ -425,17 +450,65 @@ def test_state_takes_further_files(spark, tmp_path):
 
 # 8 -- archives
 
-def test_audit_locates_damage(spark, monkeypatch):
-    rows = [(i, i // 300, f"{i:064x}") for i in range(10_000)]
-    whole = spark.createDataFrame(rows, "leaf long, id long, digest string")
-    bad, lost = {17, 4096, 9999}, {0, 5000}
-    replica = whole.filter(~F.col("leaf").isin(*lost)).withColumn("digest", F.when(F.col("leaf").isin(*bad), "x").otherwise(F.col("digest")))
-    extra = spark.createDataFrame([(10_000, 0, "new")], whole.schema)
-    got = warc_audit.audit(whole, replica.union(extra).select("leaf", "digest")).filter("status <> 'ok'").collect()
-    assert {(r.leaf, r.status) for r in got} == {(b, "changed") for b in bad} | {(b, "missing") for b in lost} | {(10_000, "added")}
-    same = [levels[-1].collect() for levels in (warc_audit.tree(whole), warc_audit.tree(whole.repartition(5)))]
-    assert same[0] == same[1] and len(same[0]) == 1
-    assert warc_audit.audit(whole, whole.select("leaf", "digest")).filter("status <> 'ok'").isEmpty()
+def plain_root(rows):
+    """The root over (file, offset, n_bytes, digest) by plain Python; the groups of files are given by their numbers."""
+    nodes = {(str(f), o, f"{n}:{d}") for f, o, n, d, _ in rows}
+    group = {str(f): g for f, _, _, _, g in rows}
+    for up in (lambda f, p: (f, p >> 16), lambda f, p: (f, p >> 8), lambda f, p: (f, 0), lambda f, p: ("", group[f]), lambda f, p: ("", 0)):
+        above = collections.defaultdict(set)
+        for f, p, h in nodes:
+            above[up(f, p)].add((f, p, h))
+        nodes = {(*k, sha(",".join(f"{f}:{p}:{h}" for f, p, h in sorted(v)))) for k, v in above.items()}
+    return nodes
+
+
+ARCHIVE = "file string, offset long, n_bytes long, digest string, id long"
+
+
+def test_audit_locates_damage(spark):
+    rows = [(f"f{i % 3}.warc", i * 5000, 4000 + i % 7, f"{i % 4000:064x}", i) for i in range(9000)]
+    whole = spark.createDataFrame(rows, ARCHIVE)
+    changed, lost, moved = {17, 4096, 8999}, {0, 5001}, {33, 8034}
+    damaged = [(f, o, n, "x" if i in changed else d, i) for f, o, n, d, i in rows if i not in lost | moved]
+    damaged += [("patch.warc", 10 * i, rows[i][2], rows[i][3], i) for i in sorted(moved)] + [("f1.warc", 3, 9, "new", -1)]
+    got = warc_audit.audit(whole, spark.createDataFrame(damaged, ARCHIVE)).collect()
+    assert len(got) == len(rows) + 1
+    assert {r.id: r.status for r in got if r.status not in ("ok", "added")} == {
+        **dict.fromkeys(changed, "changed"), **dict.fromkeys(lost, "missing"), **dict.fromkeys(moved, "moved")}
+    assert {(r.id, r.moved_file, r.moved_offset) for r in got if r.status == "moved"} == {(i, "patch.warc", 10 * i) for i in moved}
+    assert [(r.file, r.offset, r.n_bytes, r.digest, r.id) for r in got if r.status == "added"] == [("f1.warc", 3, 9, "new", None)]
+
+
+def test_audit_trees_do_not_depend_on_the_session(spark, small):
+    pages = table(spark, small, "pages")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    one = warc_audit.archive(pages).collect()
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 7)
+        other = warc_audit.archive(pages.repartition(5))
+        assert sorted(other.collect()) == sorted(one)
+        whole = spark.createDataFrame(one, other.schema)
+        roots = [warc_audit.tree(x)[-1].collect() for x in (other, whole)]
+        assert roots[0] == roots[1] and len(roots[0]) == 1
+        grouped = whole.withColumn("g", F.pmod(F.xxhash64(F.col("file").cast("string")), F.lit(warc_audit.FILE_GROUPS)))
+        assert {tuple(r) for r in roots[0]} == plain_root(grouped.select("file", "offset", "n_bytes", "digest", "g").collect())
+        assert warc_audit.audit(whole, other).filter("status <> 'ok'").isEmpty()
+        shifted = warc_audit.audit(whole, other.withColumn("offset", F.col("offset") + 1))
+        assert {r.status for r in shifted.collect()} == {"moved"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_audit_edges(spark):
+    rows = [("a", 0, 5, "d", 1), ("a", 0, 5, "d", 2), ("a", 5, None, None, 3), (None, 9, 5, "e", 4), ("b", None, 5, "f", 5), ("a", 9, 1, "g", 6)]
+    df = spark.createDataFrame(rows, ARCHIVE).withColumns({n: F.lit("clash") for n in ("status", "_leaf_file", "part", "hash", "up")})
+    got = warc_audit.audit(df, df).collect()
+    assert {r.id: r.status for r in got} == {1: "ok", 2: "ok", 3: "ok", 4: "unplaced", 5: "unplaced", 6: "ok"}
+    assert {r.hash for r in got} == {"clash"}
+    none = warc_audit.audit(df, df.filter("id = 1 or id = 2")).collect()
+    assert {r.id: r.status for r in none} == {1: "ok", 2: "ok", 3: "missing", 4: "unplaced", 5: "unplaced", 6: "missing"}
+    empty = df.filter("false")
+    assert {r.status for r in warc_audit.audit(empty, df).collect()} == {"added"} and warc_audit.audit(empty, empty).count() == 0
 
 
 def test_archive_edges(spark, small):
@@ -444,7 +517,7 @@ def test_archive_edges(spark, small):
     assert len(rows) == 4 and len({r.leaf for r in rows}) == 4 and len({r.digest for r in rows}) == 3
     assert warc_audit.archive(pages.filter("false")).count() == 0
     empty = warc_audit.archive(pages.filter("false"))
-    assert warc_audit.audit(empty, empty.select("leaf", "digest")).count() == 0
+    assert warc_audit.audit(empty, empty).count() == 0
     laid = warc_audit.archive(table(spark, small, "pages")).orderBy("leaf").collect()
     reach = {}
     for r in laid:
@@ -523,6 +596,21 @@ def test_likeness_follows_the_edit(spark, small):
     assert sum(r.near_edited > r.near_next for r in long) > 0.95 * len(long)
 
 
+def test_likeness_of_long_texts(spark):
+    """An edit that keeps three quarters of the pieces shares 0.6 of all pieces, at any length."""
+    def text(n, salt):
+        return "\n".join(f"{salt} piece {i}" for i in range(n))
+
+    rows = [(i, text(n, i), text(n - n // 4, i) + "\n" + text(n // 4, f"other{i}"), text(n, f"unlike{i}"))
+            for i, n in enumerate((40, 500, 2000, 10_000, 100_000))]
+    docs = spark.createDataFrame([(10 * i + k, t) for i, *texts in rows for k, t in enumerate(texts)], "doc_id long, text string")
+    prints = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(docs).collect()}
+    pairs = spark.createDataFrame([(i, prints[10 * i], prints[10 * i + 1], prints[10 * i + 2]) for i in range(len(rows))],
+                                  "i long, a string, b string, c string")
+    for r in fingerprints.with_likeness(pairs, {"near": ("a", "b"), "far": ("a", "c")}).collect():
+        assert abs(r.near - 0.6) < 0.1 and r.far < 0.15
+
+
 # The chain
 
 def test_pipeline_stage_by_stage(spark, small, model_file, monkeypatch):
