@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gablework.llm import exact_dedup, language, mixing, near_dedup, sentencepiece_codec
-from gablework.llm.common import stored
+from gablework.llm.common import quoted, stored
 from gablework.llm.queries import table, tokenizer_file
 
 
@@ -30,7 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by Poisson counts so that sources get the square root of their size as weight."""
-    return mixing.mix(docs).drop("_copy")
+    return mixing.mix(docs).select(*map(quoted, docs.columns))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
