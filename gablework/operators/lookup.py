@@ -29,23 +29,21 @@ class _TableWriter(DefaultParamsWriter):
 
     def saveImpl(self, path: str) -> None:
         super().saveImpl(path)
-        self.instance.table(SparkSession.active()).write.parquet(f"{path}/table")
+        frozen = self.instance.frozen()
+        if frozen:
+            thaw(SparkSession.active(), frozen).write.parquet(f"{path}/table")
 
 
 class _TableReader(DefaultParamsReader):
     def load(self, path: str):
         model = super().load(path)
-        config = dict(model.getOrDefault(model.config))
-        model._set(config={**config, "table": {**config["table"], "path": f"{path}/table"}})
+        if model.frozen():
+            model.take_from(f"{path}/table")
         return model
 
 
-class LookupModel(Fitted):
-    """Left join of ``table`` on ``key``; subclasses say what to do with the values. A saved model
-    holds its table, whatever its size and types."""
-
-    def __init__(self, key=None, columns=(), table=None, **more):
-        super().__init__(**({"key": key, "columns": list(columns), "table": table, **more} if key else {}))
+class TableHolder(Fitted):
+    """A fitted step with a look-up, which lies in the model's own folder once it is saved."""
 
     def write(self) -> DefaultParamsWriter:
         return _TableWriter(self)
@@ -54,6 +52,28 @@ class LookupModel(Fitted):
     def read(cls) -> DefaultParamsReader:
         return _TableReader(cls)
 
+    def frozen(self) -> dict | None:
+        """Where the look-up lies, as ``freeze`` gives it; ``None`` without one."""
+        raise NotImplementedError
+
+    def take_from(self, path: str) -> None:
+        """Read the look-up from ``path`` from now on."""
+        raise NotImplementedError
+
+
+class LookupModel(TableHolder):
+    """Left join of ``table`` on ``key``; subclasses say what to do with the values. A saved model
+    holds its table, whatever its size and types."""
+
+    def __init__(self, key=None, columns=(), table=None, **more):
+        super().__init__(**({"key": key, "columns": list(columns), "table": table, **more} if key else {}))
+
+    def frozen(self) -> dict | None:
+        return self["table"]
+
+    def take_from(self, path: str) -> None:
+        self._set(config={**self.getOrDefault(self.config), "table": {**self["table"], "path": path}})
+
     def table(self, spark: SparkSession) -> DataFrame:
         return thaw(spark, self["table"])
 

@@ -10,8 +10,9 @@ from ..functions import columns as C
 from ..functions.columns import col
 from ..operators.derive import GRADES
 from ..operators.distribution import best_powers, linspace
+from ..operators.lookup import TableHolder
 from ..operators.missing import GroupModeImputer, GroupModeModel, fill_defaults
-from ..stage import Fitted, Learner
+from ..stage import Learner
 
 # Rules in the order they are applied. Each reads the columns as the ones before left
 # them, but ``power``, which is learned on the raw table and reads a raw column.
@@ -72,10 +73,19 @@ class CleaningRules(Learner):
         return CleaningModel(rules, imputer.getOrDefault("config") if imputer else None, exponents)
 
 
-class CleaningModel(Fitted):
+class CleaningModel(TableHolder):
+    """Fitted rules. A saved model holds the group values that it fills in."""
+
     def __init__(self, rules=None, modes=None, exponents=()):
         super().__init__(**({"rules": rules, "modes": modes, "exponents": list(exponents)} if rules else {}))
 
+    def frozen(self) -> dict | None:
+        return self["modes"]["table"] if self["modes"] else None
+
+    def take_from(self, path: str) -> None:
+        modes = {**self["modes"], "table": {**self["modes"]["table"], "path": path}}
+        self._set(config={**self.getOrDefault(self.config), "modes": modes})
+
     def _transform(self, df: DataFrame) -> DataFrame:
         rules = {name: self["rules"].get(name, []) for name in RULES}
         df = fill_defaults(df, dict(rules["defaults"])) if rules["defaults"] else df

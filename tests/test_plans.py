@@ -11,6 +11,7 @@ from gablework.models.linear import ElasticNet, Lasso, Ridge
 from gablework.models.trees import Boosted, Tree
 from gablework.operators import match, transformers as T
 from gablework.plans import ensemble, presets
+from gablework.plans.cleaning import CleaningRules
 from gablework.plans.features import FeaturePlan, block
 from gablework.plans.regressor import TabularRegressor, predict_beside
 from gablework.plans.target import TargetTransform
@@ -18,6 +19,29 @@ from gablework.session import fresh_path, shared_folder
 from gablework.stage import unique
 
 
+# --- stored models ---
+
+def test_stored_regressor_holds_its_look_up(t, tmp_path):
+    """A stored model with group values outlives the scratch folder of the session that fitted it."""
+    from gablework.session import delete_path
+
+    plan = FeaturePlan([block("a", ["liv_area"], scale=["standard"]), block("b", ["zoning"], fill="None", one_hot=True)])
+    fitted = TabularRegressor(Ridge(1.0), plan, "sale_price", keep=["id"], cleaning=CleaningRules(
+        group="neighborhood", target="sale_price", modes=["zoning"])).fit(t)
+    rows = t.withColumn("zoning", F.when(F.col("id") % 3 > 0, F.col("zoning"))).drop("sale_price")
+    before = [tuple(r) for r in fitted.transform(rows).select("id", "prediction").orderBy("id").collect()]
+    path = str(tmp_path / "regressor")
+    sources.save_model(fitted, path)
+    delete_path(t.sparkSession, fitted.stages[0].frozen()["path"])
+    again = sources.load_model(path)
+    assert again.stages[0].frozen()["path"].startswith(path)
+    assert [tuple(r) for r in again.transform(rows).select("id", "prediction").orderBy("id").collect()] == before
+    second = str(tmp_path / "second")
+    sources.save_model(again, second)
+    assert sources.load_model(second).stages[0].frozen()["path"].startswith(second)
+    assert CleaningRules(powers={"x": ("liv_area", 2)}).fit(t).frozen() is None
+
+
 # --- transformers ------------------------------------------------------------
 
 def test_scaling(t, pdf):
