@@ -293,18 +293,25 @@ def _near_classes(located_rows: DataFrame, file: str, row: str, id_col: str, tex
     spark = located_rows.sparkSession
     rows = located_rows.select(F.col(id_col).alias("id"), F.xxhash64(file).alias("_f"), F.col(row).alias("_row"),
                                words(text_or_empty(text_col)).alias("_words"))
+    whole = located_rows.select(F.xxhash64(file).alias("_f"), F.col(row).alias("_row"), text_or_empty(text_col).alias("_text"))
     scratch = Scratch(spark)
     table = scratch.keep(signed(rows), "near-signatures")
     heads = table.filter("n > 0").groupBy("h1", "h2").agg(F.min("node").alias("head"))
     nodes = scratch.keep(table.join(heads, F.col("node") == F.col("head"), "left_semi").filter("n > 0"), "near-nodes")
 
+    def texts_at(placed: DataFrame, label: str) -> DataFrame:
+        """_words of the few texts that ``placed`` names by _f and _row; words are taken after the join, from these texts only.
+        The places are written first, so that their size decides the join."""
+        places = scratch.keep(placed, "near-places")
+        found = whole.join(places, ["_f", "_row"]).withColumn("_words", words(F.col("_text")))
+        return scratch.keep(found.drop("_f", "_row", "_text"), label)
+
     def linked(pairs: DataFrame) -> DataFrame:
         likely = scratch.keep(judged(pairs, nodes.select("node", "sig")), "near-judged")
         sure = likely.filter(F.col("alike") >= similarity + DOUBT).select("a", "b")
         open_pairs = likely.filter((F.col("alike") < similarity + DOUBT) & (F.col("alike") >= similarity - DOUBT))
         open_nodes = open_pairs.select(F.col("a").alias("node")).union(open_pairs.select("b")).distinct()
-        texts = scratch.keep(rows.join(nodes.join(open_nodes, "node").select("node", "_f", "_row"), ["_f", "_row"])
-                             .select("node", "_words"), "near-texts")
+        texts = texts_at(nodes.join(open_nodes, "node").select("node", "_f", "_row"), "near-texts")
         exact = weighted_jaccard(open_pairs.select("a", "b"), texts).filter(F.col("similarity") >= similarity)
         return stored(sure.union(exact.select("a", "b")), "near-links")
 
@@ -313,8 +320,7 @@ def _near_classes(located_rows: DataFrame, file: str, row: str, id_col: str, tex
     labels = components(links)
     open_nodes = scratch.keep(undecided(met, labels, scratch), "near-open")
     if not open_nodes.isEmpty():
-        placed = nodes.join(open_nodes, "node").select("node", "label", "_f", "_row")
-        texts = scratch.keep(rows.join(placed, ["_f", "_row"]).select("node", "label", "_words"), "near-open-texts")
+        texts = texts_at(nodes.join(open_nodes, "node").select("node", "label", "_f", "_row"), "near-open-texts")
         found = linked(scratch.keep(sharing(texts, similarity, scratch), "near-candidates"))
         if not found.isEmpty():
             labels = joined_classes(labels, open_nodes, found)
