@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import col, total
 from ..operators import derive, distribution, missing, transformers
+from ..operators.sparse import SparseOneHot
 from ..plans.features import FeaturePlan, block
 from ..plans.target import TargetTransform
 from ..session import small_frame
@@ -82,6 +83,21 @@ def one_hot_ignore(t: DataFrame) -> DataFrame:
     return transformers.OneHot(["zoning"], drop=None, unseen="ignore").fit(known).transform(narrow)
 
 
+@query("""
+SELECT id, dense_rank() OVER (ORDER BY neighborhood) - 1 AS place,
+  (SELECT count(DISTINCT neighborhood) FROM listings) + dense_rank() OVER (ORDER BY id // 3) - 1 AS deal_place,
+  (SELECT count(DISTINCT neighborhood) + count(DISTINCT id // 3) FROM listings) AS area_place, liv_area
+FROM listings""")
+def one_hot_sparse(t: DataFrame) -> DataFrame:
+    """Entries of a table with a level per few rows."""
+    narrow = t.select("id", "neighborhood", F.expr("id div 3").alias("deal"), "liv_area")
+    fit = SparseOneHot(["neighborhood", "deal"], ["liv_area"], drop=None).fit(narrow)
+    e = F.col("entries")
+    return fit.transform(narrow).select(
+        "id", *[e[i]["at"].cast("bigint").alias(n) for i, n in enumerate(["place", "deal_place", "area_place"])],
+        e[2]["x"].alias("liv_area"))
+
+
 @query(f"""
 SELECT id, liv_area, {_flags('zoning', SEGMENTS)}, {_flags('qual', ['Ex', 'Fa', 'Gd', 'Po', 'TA'])},
   {_flags('mo_sold', [str(m) for m in range(1, 13)], 'cast(mo_sold AS varchar)')} FROM listings""")

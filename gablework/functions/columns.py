@@ -26,9 +26,14 @@ def missing_if_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def finite(c: Column) -> Column:
+    """A double, with NaN and the infinities as missing: the rule of every statistic, matrix and fit."""
+    return F.when(F.abs(c) < F.lit(math.inf), c)  # NaN is above all numbers
+
+
 def value(name: str) -> Column:
-    """A column as a double, with NaN as missing."""
-    return missing_if_nan(col(name).cast("double"))
+    """A column as a double, with NaN and the infinities as missing."""
+    return finite(col(name).cast("double"))
 
 
 # --- flags: never NULL -------------------------------------------------------
@@ -115,12 +120,12 @@ def conjunction(conditions: Sequence[Column]) -> Column:
 
 
 def complete_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Rows without a missing value, NULL or NaN, in the named columns. One condition per column:
+    """Rows without a missing value, NULL, NaN or infinite, in the named columns. One condition per column:
     ``dropna`` makes a single condition over all of them, and the optimizer derives
     exponentially many constraints from that when the columns are renamed."""
     fractional = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
     return df.where(conjunction([col(n).isNotNull() for n in names]
-                                + [~F.isnan(col(n)) for n in names if n in fractional]))
+                                + [F.abs(col(n)) < F.lit(math.inf) for n in names if n in fractional]))
 
 
 def dot(names: Sequence[str], weights: Sequence[float], intercept: float = 0.0) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import col, complete_rows, missing_if_nan, value
+from ..functions.columns import col, complete_rows, finite, value
 from ..session import runs_in_tasks
 
 # Above this many products the matrix is added up in numpy instead of by one SQL
@@ -30,7 +30,7 @@ def gram(df: DataFrame, columns: Sequence[Column], keys: Sequence[str] = (),
          expand: tuple[int, Callable[[np.ndarray], np.ndarray]] | None = None) -> DataFrame:
     """One row per key: the keys and ``gram``, the upper triangle of sum(z z') by rows.
 
-    Rows with a missing value (NULL or NaN) in any column or key are left out. ``shift`` is subtracted from
+    Rows with a missing value (NULL, NaN or infinite) in any column or key are left out. ``shift`` is subtracted from
     the columns first, which keeps digits when a mean is far larger than its spread.
     ``expand`` is (width, function): a block of rows is turned into ``width`` columns
     before it is multiplied, so that wide derived features never become table columns.
@@ -39,7 +39,7 @@ def gram(df: DataFrame, columns: Sequence[Column], keys: Sequence[str] = (),
     if width > WIDEST:
         raise ValueError(f"{width} columns; moment matrices are kept to {WIDEST}")
     shift = list(shift) if shift is not None else [0.0] * len(columns)
-    z = [missing_if_nan(c.cast("double") - F.lit(float(s)) if s else c.cast("double")) for c, s in zip(columns, shift)]
+    z = [finite(c.cast("double") - F.lit(float(s)) if s else c.cast("double")) for c, s in zip(columns, shift)]
     narrow = complete_rows(df, keys).select(*[col(k) for k in keys], *[c.alias(f"_z{i}") for i, c in enumerate(z)])
     names = [f"_z{i}" for i in range(len(z))]
     m = len(z) + 1

@@ -1,4 +1,4 @@
-"""Linear models from one moment matrix: least squares, ridge, lasso, elastic net.
+"""Linear models from one moment matrix, or in passes beyond its width: least squares, ridge, lasso, elastic net.
 
 Every learner in this package has ``fit(df, features, target, prediction)`` and returns
 an ML transformer that adds the prediction column.
@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 
 from ..functions.columns import col, dot
 from ..stage import Fitted
-from . import solve
-from .gram import collect_gram
+from . import passes, solve
+from .gram import WIDEST, collect_gram
 
 
 class LinearFit(Fitted):
@@ -47,7 +47,20 @@ class Linear:
     def solve(self, g: np.ndarray):
         return solve.ridge(g)
 
+    def by_passes(self, p: passes.Problem):
+        return passes.ridge(p)
+
+    def fit_entries(self, df: DataFrame, entries: str, width: int, target: str,
+                    prediction: str = "prediction") -> passes.SparseFit:
+        """Fit on a column of entries, as ``SparseOneHot`` makes it, of any width."""
+        with passes.problem(df, entries, col(target), width) as p:
+            return passes.SparseFit(entries, *self.by_passes(p), prediction)
+
     def fit(self, df: DataFrame, features: Sequence[str], target: str, prediction: str = "prediction") -> LinearFit:
+        """Up to WIDEST columns are solved from their moment matrix, more of them in passes over the rows."""
+        if len(features) + 1 > WIDEST:
+            with passes.problem(df, [col(c) for c in features], col(target), len(features)) as p:
+                return LinearFit(features, *self.by_passes(p), prediction)
         found = collect_gram(df, [col(c) for c in [*features, target]])
         if not found:
             raise ValueError("no complete rows to fit on")
@@ -63,6 +76,9 @@ class Ridge(Linear):
     def solve(self, g: np.ndarray):
         return solve.ridge(g, self.alpha)
 
+    def by_passes(self, p: passes.Problem):
+        return passes.ridge(p, self.alpha)
+
 
 @dataclass(frozen=True)
 class ElasticNet(Linear):
@@ -74,6 +90,9 @@ class ElasticNet(Linear):
     def solve(self, g: np.ndarray):
         return solve.elastic_net(g, self.alpha, self.l1_ratio)
 
+    def by_passes(self, p: passes.Problem):
+        return passes.elastic_net(p, self.alpha, self.l1_ratio)
+
 
 def Lasso(alpha: float = 1.0) -> ElasticNet:
     return ElasticNet(alpha, 1.0)

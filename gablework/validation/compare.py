@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import col, missing_if_nan
+from ..functions.columns import col, finite
 from ..models.gram import gram, square
 from ..models.linear import Linear
 from ..models.solve import squared_error
@@ -53,7 +53,7 @@ def repeat_cv(df: DataFrame, variants: Mapping[str, Sequence[str]], target: str,
 def ttest(df: DataFrame, value: str, variant: str, a, b) -> DataFrame:
     """Student's t test with equal variances of two groups of rows: diff, t, df, p_value. NaN for an empty
     group, or if both have one row."""
-    v, g = missing_if_nan(col(value).cast("double")), col(variant)
+    v, g = finite(col(value).cast("double")), col(variant)
 
     def stats(which):
         x = F.when(g == F.lit(which), v)

@@ -103,3 +103,22 @@ def test_ttest_of_single_rows(spark):
     r = ttest(df, "v", "g", "a", "b").first()
     assert r.diff == -2.0 and r.df == 1.0 and math.isfinite(r.t)
     assert math.isnan(ttest(df, "v", "g", "a", "none").first().t)
+
+
+def test_infinity_is_missing_in_moments_correlations_and_fits(spark):
+    from gablework.models.linear import fit_linear
+    from gablework.operators.transformers import RobustScale, StandardScale
+
+    clean = [(float(i), float(i % 7), 2.0 * i + i % 7) for i in range(40)]
+    spiked = [*clean, (math.inf, 1.0, 5.0), (-math.inf, 2.0, 5.0), (3.0, 1.0, math.inf), (math.nan, 1.0, 5.0)]
+    a, b = (spark.createDataFrame(rows, "x double, z double, y double") for rows in (clean, spiked[:42] + spiked[43:]))
+    for learner in (StandardScale(["x"]), RobustScale(["x"])):
+        good, found = learner.fit(a), learner.fit(b)
+        assert found["centers"] == pytest.approx(good["centers"]) and found["widths"] == pytest.approx(good["widths"])
+    everything = spark.createDataFrame(spiked, "x double, z double, y double")
+    fit = fit_linear(everything, ["x", "z"], "y")
+    assert fit.slopes == pytest.approx({"x": 2.0, "z": 1.0}) and fit.intercept == pytest.approx(0.0, abs=1e-8)
+    for df in (everything, everything.select(*everything.columns, *[(everything.x + i).alias(f"x{i}") for i in range(12)])):
+        r = {(v.a, v.b): v.r for v in profile.corr_matrix(df, df.columns).collect()}
+        pair = r.get(("x", "y"), r.get(("y", "x")))
+        assert pair == pytest.approx(np.corrcoef([c[0] for c in clean], [c[2] for c in clean])[0, 1])
