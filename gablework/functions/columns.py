@@ -115,6 +115,12 @@ def log_if_positive(c: Column) -> Column:
     return F.when(c > 0, F.log(c)).otherwise(c)
 
 
+def log_of_positive(c: Column, what: str) -> Column:
+    """Natural log; zero and below are an error that names the column, since a row would leave every fit unnoticed."""
+    message = F.concat(F.lit(f"no logarithm of {what}: "), c.cast("string"))
+    return F.when(c <= 0, F.raise_error(message).cast("double")).otherwise(F.log(c))
+
+
 def conjunction(conditions: Sequence[Column]) -> Column:
     return reduce(and_, conditions, F.lit(True))
 

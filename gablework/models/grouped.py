@@ -47,9 +47,9 @@ class GroupedFit(LookupModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         joined = self.attach(df)
         slopes = col("_found_slopes")
-        value = col("_found_intercept")
-        for i, c in enumerate(self["features"]):
-            value = value + slopes[i] * col(c).cast("double")
+        # a fold over arrays: a chain of many plus signs is too deep to parse
+        terms = F.zip_with(slopes, F.array(*[col(c).cast("double") for c in self["features"]]), lambda b, x: b * x)
+        value = F.when(slopes.isNotNull(), F.aggregate(terms, col("_found_intercept"), lambda total, term: total + term))
         return joined.withColumn(self["prediction"], value).drop("_found_intercept", "_found_slopes")
 
     def coefficients(self, spark) -> DataFrame:

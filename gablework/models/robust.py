@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -31,6 +32,8 @@ class Huber:
             fitted = LinearRegression(
                 featuresCol="_x", labelCol="_y", loss="huber", epsilon=self.epsilon, regParam=self.alpha / n,
                 elasticNetParam=0.0, standardization=False, maxIter=self.max_iter, tol=1e-6).fit(vectors)
+            if fitted.hasSummary and fitted.summary.totalIterations >= self.max_iter:
+                warnings.warn(f"Huber regression did not converge in {self.max_iter} iterations", stacklevel=2)
         return LinearFit(features, fitted.intercept, fitted.coefficients.toArray().tolist(), prediction)
 
 

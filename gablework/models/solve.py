@@ -5,6 +5,8 @@ A matrix covers z = [1, x..., y]. Coefficients are (intercept, slopes).
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 
 from ..session import runs_in_tasks
@@ -36,7 +38,7 @@ def elastic_net(g: np.ndarray, alpha: float, l1_ratio: float, start=None,
                 tolerance: float = 1e-10, sweeps: int = 20_000):
     """Minimizes mean squared error / 2 + alpha * (l1_ratio |b|_1 + (1 - l1_ratio) |b|^2 / 2)
     by coordinate descent on the covariances (Friedman, Hastie, Tibshirani 2010). Stops
-    when no slope moves the fit by more than ``tolerance`` of the target's spread."""
+    when no slope moves the fit by more than ``tolerance`` of the target's spread, or after ``sweeps`` with a warning."""
     _, means, s = centered(g)
     sxx, sxy, syy = s[:-1, :-1], s[:-1, -1], max(s[-1, -1], 0.0)
     diagonal = np.diag(sxx).copy()
@@ -57,6 +59,8 @@ def elastic_net(g: np.ndarray, alpha: float, l1_ratio: float, start=None,
                 moved = max(moved, abs(new - old) * np.sqrt(diagonal[j]))
         if moved <= limit:
             break
+    else:
+        warnings.warn(f"elastic net did not converge in {sweeps} sweeps; the last solution is returned", stacklevel=2)
     return means[-1] - means[:-1] @ b, b
 
 

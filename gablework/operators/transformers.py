@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import text
-from ..functions.columns import col
+from ..functions.columns import col, log_of_positive
 from ..session import rows_within
 from ..stage import Fitted, Learner, unique
 from . import distribution as D
@@ -124,20 +124,20 @@ class YeoJohnsonModel(Fitted):
 
 
 class LogZScore(Learner):
-    """Natural log, then mean 0 and population standard deviation 1."""
+    """Natural log, then mean 0 and population standard deviation 1. Values of 0 or less are an error."""
 
     def __init__(self, columns: Iterable[str] = ()):
         super().__init__(**({"columns": list(columns)} if columns else {}))
 
     def _fit(self, df: DataFrame) -> LogZScoreModel:
         columns = unique(self["columns"])
-        found = fit_moments(df.select([F.log(col(c)).alias(c) for c in columns]), columns)
+        found = fit_moments(df.select([log_of_positive(col(c), c).alias(c) for c in columns]), columns)
         return LogZScoreModel(columns, [found[c][0] for c in columns], [_or_one(found[c][1]) for c in columns])
 
 
 class LogZScoreModel(ScaleModel):
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: (F.log(col(c)) - F.lit(m)) / F.lit(w) for c, m, w in self._each()})
+        return df.withColumns({c: (log_of_positive(col(c), c) - F.lit(m)) / F.lit(w) for c, m, w in self._each()})
 
     def inverse(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.exp(col(c) * F.lit(w) + F.lit(m)) for c, m, w in self._each()})

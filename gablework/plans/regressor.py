@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import scores
 from ..functions.columns import col
-from ..models.gram import collect_gram
+from ..models.gram import WIDEST, collect_gram
 from ..models.linear import Linear, LinearFit
 from ..session import kept, side_by_side
 from ..stage import Step
@@ -110,7 +110,7 @@ class TabularRegressor:
 
 def fit_together(regressors: Sequence[TabularRegressor], df: DataFrame) -> list[PipelineModel]:
     """Fit several regressors on the same rows. Those that share cleaning, plan and chain
-    share the prepared table, and the linear ones among them one moment matrix."""
+    share the prepared table, and the linear ones among them one moment matrix, up to its WIDEST columns."""
     models: dict[int, PipelineModel] = {}
     groups: dict[str, list[int]] = {}
     for i, r in enumerate(regressors):
@@ -118,7 +118,7 @@ def fit_together(regressors: Sequence[TabularRegressor], df: DataFrame) -> list[
     for members in groups.values():
         stages, chain, wide = regressors[members[0]].prepare(df)
         names = stages[-1].feature_names
-        linear = [i for i in members if isinstance(regressors[i].learner, Linear)]
+        linear = [i for i in members if isinstance(regressors[i].learner, Linear) and len(names) < WIDEST]
         fits = {}
         with contextlib.ExitStack() as stack:
             if len(members) > len(linear):

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import col
+from ..functions.columns import col, log_of_positive
 from ..operators import distribution as D
 from ..operators.profile import fit_moments
 from ..operators.transformers import QUARTILES, _or_one, quartiles_of
@@ -15,7 +15,7 @@ from ..stage import Fitted, Learner
 
 class TargetTransform(Learner):
     """``steps`` from "log", "yeo_johnson", "standard", "robust", each fitted on the
-    outcome of the ones before."""
+    outcome of the ones before. A target of 0 or less has no log, which is an error; a missing one stays missing."""
 
     def __init__(self, target: str | None = None, steps: Sequence[str] = ("log", "standard"),
                  output: str | None = None):
@@ -44,7 +44,7 @@ class TargetTransform(Learner):
 def _chain(y: Column, fitted) -> Column:
     for step, constants in fitted:
         if step == "log":
-            y = F.log(y)
+            y = log_of_positive(y, "the target")
         elif step == "yeo_johnson":
             y = D.yeo_johnson(y, F.lit(constants[0]))
         else:
