@@ -12,12 +12,15 @@ least node of that bucket, so a bucket of n gives n candidates and a large group
 family of texts on one template, an exact join over the shingles of these members finds the rest: of two near texts, in the
 order from rare to common shingles, the first that they share lies early in both, so a shingle is a key for
 the few texts only that have it at their beginning, and texts that each differ from the template by edits of their own never meet.
+Where many would meet still, each is first compared with few neighbours in a drawn order, turn by turn, and classes that a link
+joins are one from then on, so that all pairs are made only of the classes that are left.
 Candidates are judged by their signatures when
 these leave no doubt, and by their exact shingles otherwise; classes are the connected components of the links.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -37,6 +40,12 @@ SIMILARITY = 0.8
 DOUBT = 0.1
 #: Sizes of texts that meet are dealt into bins of this ratio.
 SIZE_STEP = 1.04
+#: Room for rounding in sums of weights.
+SLACK = 1e-9
+#: With more meetings a text than CROWD, neighbours by a drawn order are linked before all pairs are made.
+CROWD = 16
+#: Followers that a row is compared with in one turn, and texts of a cell in which it has them.
+REACH, CELL = 16, 1024
 PIECE = 1 << 20
 
 
@@ -207,36 +216,82 @@ def shingle_rows(texts: DataFrame) -> DataFrame:
     return texts.select("node", "label", "_words").mapInArrow(run, "node long, label long, total double, shingle long, weight double")
 
 
-def sharing(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of texts (node, label, _words) of different labels that can be similar: all that are, and few others.
+def beginnings(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """node, total, rest (weight from this shingle on), shingle, texts (that have it), bin and small, of the shingles by which texts
+    (node, label, _words) of different labels can meet.
 
     Similar texts have an overlap of at least s / (1 + s) of their weights together. In any order common to all texts, what a
     text holds from the first shared shingle on bounds the overlap, so that shingle lies within the first 1 - s of the larger
     text and the first (1 - s) / (1 + s) of the smaller one. The order is from rare to common, which makes these
-    beginnings differ where the texts do.
+    beginnings differ where the texts do. A text lies in the bins of all sizes that a smaller partner can have; as a smaller
+    partner itself, where ``small`` says so, in the bin of its own size, which is one of them.
     """
     rows = scratch.keep(shingle_rows(texts), "near-shingles")
     shared = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("label").alias("least"), F.max("label").alias("most"))
               .filter("texts > 1"))
     onward = Window.partitionBy("node").orderBy("texts", "shingle").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    slack = 1e-9
     early = (rows.join(scratch.keep(shared, "near-shared"), "shingle").withColumn("rest", F.sum("weight").over(onward))
-             .filter((F.col("rest") >= similarity * F.col("total") - slack) & (F.col("least") < F.col("most"))))
-    early = scratch.keep(early.select("shingle", "node", "label", "total", "rest"), "near-early")
+             .filter((F.col("rest") >= similarity * F.col("total") - SLACK) & (F.col("least") < F.col("most"))))
     share = similarity / (1 + similarity)
 
     def size(weight: Column) -> Column:
         return F.floor(F.log(weight) / math.log(SIZE_STEP)).cast("int")
 
-    small = early.filter(F.col("rest") >= 2 * share * F.col("total") - slack).withColumn("bin", size(F.col("total"))).alias("small")
     most = F.least(F.col("total"), F.col("rest") / share - F.col("total"))
-    least = similarity * F.col("total") - slack
-    large = early.filter(most >= least).withColumn("bin", F.explode(F.sequence(size(least), size(most + slack)))).alias("large")
-    both = share * (F.col("small.total") + F.col("large.total")) - slack
-    pairs = small.join(large, ["shingle", "bin"]).filter(
-        (F.col("small.label") != F.col("large.label")) & (F.col("small.total") <= F.col("large.total"))
-        & (F.col("small.rest") >= both) & (F.col("large.rest") >= both))
-    return pairs.select(F.least("small.node", "large.node").alias("a"), F.greatest("small.node", "large.node").alias("b")).distinct()
+    least = similarity * F.col("total") - SLACK
+    own = (F.col("rest") >= 2 * share * F.col("total") - SLACK) & (F.col("bin") == size(F.col("total")))
+    binned = early.filter(most >= least).withColumn("bin", F.explode(F.sequence(size(least), size(most + SLACK))))
+    return scratch.keep(binned.select("node", "total", "rest", "shingle", "texts", "bin", own.alias("small")), "near-early")
+
+
+def relabelled(open_nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``open_nodes`` (node) with the label of ``labels``; a node alone has its own."""
+    return open_nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+
+
+def meetings(rows: DataFrame) -> int:
+    """How often texts of different labels meet in a shingle and bin of ``rows``, if all pairs were made."""
+    by_label = rows.groupBy("shingle", "bin", "label").agg(F.sum(F.col("small").cast("long")).alias("s"), F.count(F.lit(1)).alias("n"))
+    by_key = by_label.groupBy("shingle", "bin").agg((F.sum("s") * F.sum("n") - F.sum(F.col("s") * F.col("n"))).alias("met"))
+    return by_key.agg(F.sum("met")).first()[0] or 0
+
+
+def can_be_near(one: str, two: str, similarity: float) -> Column:
+    """Whether what both texts hold from a shared shingle on leaves room for the overlap."""
+    both = similarity / (1 + similarity) * (F.col(f"{one}.total") + F.col(f"{two}.total")) - SLACK
+    return ((F.col(f"{one}.label") != F.col(f"{two}.label")) & (F.col(f"{one}.rest") >= both) & (F.col(f"{two}.rest") >= both))
+
+
+def ordered(one: str, two: str) -> list[Column]:
+    return [F.least(f"{one}.node", f"{two}.node").alias("a"), F.greatest(f"{one}.node", f"{two}.node").alias("b")]
+
+
+def neighbours(rows: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of texts of different labels that are next to each other in a shingle and bin, in an order drawn for the turn:
+    no more than REACH a row. Crowds are dealt into cells first, by the same draw."""
+    draw = F.xxhash64("node", F.lit(turn))
+    cell = F.pmod(F.xxhash64("node", F.lit(-1 - turn)), F.greatest(F.lit(1), (F.col("texts") / CELL).cast("long")))
+    after = Window.partitionBy("shingle", "bin", "cell").orderBy("draw", "node").rowsBetween(1, REACH)
+    one = F.struct("node", "label", "total", "rest")
+    near = rows.withColumns({"draw": draw, "cell": cell, "one": one}).select("one", F.collect_list("one").over(after).alias("after"))
+    # filtered before they are unrolled: most followers in a crowd are of one class
+    other = near.select("one", F.explode(F.filter("after", lambda two: two["label"] != F.col("one.label"))).alias("two"))
+    return other.filter(can_be_near("one", "two", similarity)).select(*ordered("one", "two")).distinct()
+
+
+def all_meeting(rows: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of the texts of ``rows`` (see ``beginnings``), of different labels, that can be similar."""
+    parted = rows.groupBy("shingle", "bin").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most")
+    here = scratch.keep(rows.join(scratch.keep(parted.select("shingle", "bin"), "near-parted"), ["shingle", "bin"]), "near-here")
+    pairs = here.filter("small").alias("small").join(here.alias("large"), ["shingle", "bin"]).filter(
+        (F.col("small.total") <= F.col("large.total")) & can_be_near("small", "large", similarity))
+    return pairs.select(*ordered("small", "large")).distinct()
+
+
+def sharing(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of texts (node, label, _words) of different labels that can be similar: all that are, and few others."""
+    rows = beginnings(texts, similarity, scratch).join(texts.select("node", "label"), "node")
+    return all_meeting(scratch.keep(rows, "near-rows"), similarity, scratch)
 
 
 def judged(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -321,10 +376,22 @@ def _near_classes(located_rows: DataFrame, file: str, row: str, id_col: str, tex
     open_nodes = scratch.keep(undecided(met, labels, scratch), "near-open")
     if not open_nodes.isEmpty():
         texts = texts_at(nodes.join(open_nodes, "node").select("node", "label", "_f", "_row"), "near-open-texts")
-        found = linked(scratch.keep(sharing(texts, similarity, scratch), "near-candidates"))
-        if not found.isEmpty():
-            labels = joined_classes(labels, open_nodes, found)
-            links = links.union(found)
+        early = beginnings(texts, similarity, scratch)
+        before = math.inf
+        for turn in itertools.count():
+            rows = scratch.keep(early.join(open_nodes, "node"), "near-rows")
+            left = meetings(rows)
+            # texts of one class need not meet, so each turn leaves fewer pairs; it ends where they are few, or mostly unlike
+            crowded = CROWD * open_nodes.count() < left < 0.9 * before
+            before = left
+            pairs = neighbours(rows, turn, similarity) if crowded else all_meeting(rows, similarity, scratch)
+            found = linked(scratch.keep(pairs, "near-candidates"))
+            if not found.isEmpty():
+                labels = joined_classes(labels, open_nodes, found)
+                links = links.union(found)
+            if not crowded:
+                break
+            open_nodes = scratch.keep(relabelled(open_nodes, labels), "near-open")
     degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("n_links"))
 
     in_class = (table.select("id", "_f", "_row", "node", F.when(F.col("n") > 0, F.col("h1")).otherwise(F.col("node")).alias("h1"),

@@ -342,6 +342,37 @@ def test_families_of_own_edits_do_not_meet(spark):
     assert set(near) <= {(r.a, r.b) for r in found} and len(found) < 0.1 * 300 * 299 / 2
 
 
+def test_crowds_of_near_copies_meet_few_of_each_other(spark, monkeypatch):
+    """Texts with some of few edits to one template share rare shingles with many: each is compared with few, and classes are whole.
+    Star links are left out, so that the join over shingles has all of them to find."""
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(170)]
+    rows = []
+    for i in range(300):
+        gone = set(rnd.sample(range(5, 170, 14), rnd.choice((1, 2, 3, 4))))
+        rows.append((i, " ".join(w for k, w in enumerate(words) if k not in gone)))
+    pairs = []
+    judged = near_dedup.judged
+
+    def counted(found, nodes):
+        pairs.append(found.count())
+        return judged(found, nodes)
+
+    monkeypatch.setattr(near_dedup, "judged", counted)
+    monkeypatch.setattr(near_dedup, "candidates", lambda met: met.select(met.node.alias("a"), met.low.alias("b")).limit(0))
+    classes = {r.id: r.class_id for r in near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    bags = bags_of(rows)
+    head = list(range(300))
+    for a in range(300):
+        for b in range(a):
+            same = sum((bags[a] & bags[b]).values())
+            if same >= 0.8 * (sum(bags[a].values()) + sum(bags[b].values()) - same) and head[a] != head[b]:
+                low, high = sorted((head[a], head[b]))
+                head = [low if h == high else h for h in head]
+    assert classes == dict(enumerate(head))
+    assert sum(pairs) < 35 * 300, pairs
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(2)
     element = rng.integers(1, 2 ** 62, 400).astype(np.uint64)
