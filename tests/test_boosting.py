@@ -153,3 +153,32 @@ def test_wrong_parameters():
     for wrong in ({"loss": "cubic"}, {"bins": 300}, {"depth": None}):
         with pytest.raises(ValueError):
             Boosting(**wrong)
+
+
+def test_leaves_by_cuts_are_those_by_rows():
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 9, (4, 500)).astype(np.uint8)
+    for cuts in (0, 1, 4, 31, 60):  # few cuts go by whole columns, many by rows
+        tree = boosting.Grown()
+        for _ in range(cuts):
+            tree.split(int(rng.choice(tree.leaves())), rng.integers(4), rng.integers(8))
+        shape = tree.feature, tree.cut, tree.child
+        assert (boosting.leaf_of(bins, *shape) == boosting.node_of(bins.T, *shape)).all()
+
+
+def test_trees_of_one_sample_read_its_rows_only(data, monkeypatch):
+    """Trees that share a sample pass over blocks of the drawn rows, without marks, and not over the whole table."""
+    df, x, y, marks = data
+    how = Boosting(n_trees=4, rate=0.3, depth=None, leaves=4, rows=0.5, rows_every=2)
+    seen = []
+    sums = boosting._Training.sums
+
+    def watched(work, weights, turn, *rest):
+        rows = work.sample.selectExpr("sum(rows) n", "max(length(mark)) m").first()
+        seen.append((turn, rows["n"], rows["m"]))
+        return sums(work, weights, turn, *rest)
+
+    monkeypatch.setattr(boosting._Training, "sums", watched)
+    how.fit(df, X, "y", key="id")
+    drawn = {turn: int(boosting.drawn(marks, how.seed, turn, how.rows).sum()) for turn in (0, 1)}
+    assert {(turn, n, m) for turn, n, m in seen} == {(turn, n, 0) for turn, n in drawn.items()}
