@@ -18,11 +18,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import finite
-from ..session import kept, runs_in_tasks
+from ..session import arrow_batches, kept, runs_in_tasks
 from ..stage import Fitted
 
 # Doubles per row of a partial sum on its way to the adding tasks.
 CHUNK = 8_192
+# Chunks, or blocks of rows, in one Arrow batch.
+RECORDS = 32
 # Steps after which a solver gives up, with a warning.
 MOST_STEPS = 2_000
 
@@ -67,7 +69,8 @@ class Problem:
         self.blocks, self.width = blocks, width
 
         def first(y, row, at, x):
-            return [np.bincount(at, x, width), np.bincount(at, x * x, width), [len(y), y.sum()]]
+            places = at.astype(np.int64)
+            return [(places, x), (places + width, x * x), (np.array([2 * width, 2 * width + 1]), np.array([len(y), y.sum()]))]
 
         total = self.add(first, 2 * width + 2)
         self.n = float(total[-2])
@@ -79,32 +82,38 @@ class Problem:
         # without spread but for rounding: a constant, whose slope is 0
         self.live = spread > 1e-12 * squares
         self.spread = np.where(self.live, spread, 0.0)
-        self.size = float(self.add(lambda y, row, at, x, m=self.mean: [[((y - m) ** 2).sum()]], 1)[0])
+        self.size = float(self.add(lambda y, row, at, x, m=self.mean: [(np.zeros(1, int), ((y - m) ** 2).sum(keepdims=True))], 1)[0])
 
     def add(self, work, length: int) -> np.ndarray:
-        """The sum over all blocks of the vectors that ``work`` lists, added up by chunks in tasks."""
+        """The sum over all blocks of what ``work`` lists as places and values, added up by chunks in tasks. A task holds one
+        vector of ``length`` and few records at a time, which are as long as a chunk or a block."""
         def partial(batches):
             total = None
             for batch in batches:
                 for i in range(batch.num_rows):
                     y, row, at, x = (np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in
                                      (("y", float), ("row", np.int32), ("at", np.int32), ("x", float)))
-                    part = np.concatenate([np.asarray(v, float) for v in work(y, row, at, x)])
-                    total = part if total is None else total + part
+                    total = np.zeros(length) if total is None else total
+                    for places, values in work(y, row, at, x):
+                        np.add.at(total, places, values)
             if total is not None:
                 yield from _chunks({c: total[c * CHUNK:(c + 1) * CHUNK] for c in range(-(-length // CHUNK))})
 
         def added(batches):
             held: dict = {}
             for batch in batches:
-                for c, s in zip(batch.column("chunk").to_pylist(), batch.column("sums").to_pylist()):
-                    part = np.frombuffer(s, float)
-                    held[c] = held[c] + part if c in held else part
-            if held:
-                yield from _chunks(held)
+                for c, s in zip(batch.column("chunk").to_pylist(), batch.column("sums")):
+                    part = np.frombuffer(s.as_buffer(), float)
+                    if c in held:
+                        held[c] += part
+                    else:
+                        held[c] = part.copy()
+            yield from _chunks(held)
 
         schema, total = "chunk int, sums binary", np.zeros(length)
-        for r in self.blocks.mapInArrow(partial, schema).repartition("chunk").mapInArrow(added, schema).collect():
+        with arrow_batches(self.blocks.sparkSession, RECORDS):
+            rows = self.blocks.mapInArrow(partial, schema).repartition("chunk").mapInArrow(added, schema).collect()
+        for r in rows:
             part = np.frombuffer(r["sums"], float)
             total[r["chunk"] * CHUNK:r["chunk"] * CHUNK + len(part)] = part
         return total
@@ -119,7 +128,7 @@ class Problem:
             r = np.bincount(row, x * sent.value[at], len(y)) - shift
             if less_target:
                 r = r - y
-            return [np.bincount(at, x * r[row], width), [r.sum()]]
+            return [(at, x * r[row]), (np.array([width]), r.sum(keepdims=True))]
 
         try:
             total = self.add(step, width + 1)
@@ -134,10 +143,10 @@ class Problem:
 def _chunks(held: dict):
     import pyarrow as pa
 
-    kept_chunks = {c: v for c, v in held.items() if v.any()}
-    if kept_chunks:
-        yield pa.RecordBatch.from_arrays([pa.array(list(kept_chunks), pa.int32()),
-                                          pa.array([v.tobytes() for v in kept_chunks.values()], pa.binary())],
+    some = [c for c, v in held.items() if v.any()]
+    for k in range(0, len(some), RECORDS):
+        few = some[k:k + RECORDS]
+        yield pa.RecordBatch.from_arrays([pa.array(few, pa.int32()), pa.array([held[c].tobytes() for c in few], pa.binary())],
                                          names=["chunk", "sums"])
 
 

@@ -125,3 +125,14 @@ def test_unconverged_solutions_are_told(both):
     with passes.problem(sparse, "entries", F.col("y"), encoder.width) as p:
         with pytest.warns(UserWarning, match="did not converge in 2 steps"):
             passes.elastic_net(p, 0.01, 0.5, most=2)
+
+
+def test_partial_sums_travel_in_few_chunks_at_a_time():
+    """A task's partial sums are as wide as the table, so they leave it in small batches; chunks of zeros stay."""
+    from gablework.models import passes
+
+    held = {c: np.full(4, float(c)) for c in range(100)}
+    batches = list(passes._chunks(held))
+    assert max(b.num_rows for b in batches) <= 32
+    sent = {c: np.frombuffer(v, float) for b in batches for c, v in zip(b.column("chunk").to_pylist(), b.column("sums").to_pylist())}
+    assert sorted(sent) == list(range(1, 100)) and all((v == c).all() for c, v in sent.items())
