@@ -217,8 +217,8 @@ def shingle_rows(texts: DataFrame) -> DataFrame:
 
 
 def beginnings(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """node, total, rest (weight from this shingle on), shingle, texts (that have it), bin and small, of the shingles by which texts
-    (node, label, _words) of different labels can meet.
+    """node, label, total, rest (weight from this shingle on), shingle, texts (that have it), bin and small, of the shingles by which
+    texts (node, label, _words) of different labels can meet.
 
     Similar texts have an overlap of at least s / (1 + s) of their weights together. In any order common to all texts, what a
     text holds from the first shared shingle on bounds the overlap, so that shingle lies within the first 1 - s of the larger
@@ -241,7 +241,7 @@ def beginnings(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFra
     least = similarity * F.col("total") - SLACK
     own = (F.col("rest") >= 2 * share * F.col("total") - SLACK) & (F.col("bin") == size(F.col("total")))
     binned = early.filter(most >= least).withColumn("bin", F.explode(F.sequence(size(least), size(most + SLACK))))
-    return scratch.keep(binned.select("node", "total", "rest", "shingle", "texts", "bin", own.alias("small")), "near-early")
+    return scratch.keep(binned.select("node", "label", "total", "rest", "shingle", "texts", "bin", own.alias("small")), "near-early")
 
 
 def relabelled(open_nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -249,6 +249,17 @@ def relabelled(open_nodes: DataFrame, labels: DataFrame) -> DataFrame:
     return open_nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
+def in_play(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``beginnings`` that meet one of another label, one of the two as the smaller partner. Links make labels
+    equal, so what is out once stays out, and each turn goes through what the one before left."""
+    small = F.when(F.col("small"), F.col("label"))
+    keys = rows.groupBy("shingle", "bin").agg(F.min("label").alias("least"), F.max("label").alias("most"),
+                                              F.min(small).alias("least_small"), F.max(small).alias("most_small"))
+    keys = scratch.keep(keys.filter("least < most and least_small is not null"), "near-keys")
+    here = rows.join(keys, ["shingle", "bin"]).filter("small or label <> least_small or label <> most_small")
+    return scratch.keep(here.select(rows.columns), "near-rows")
+
+
 def meetings(rows: DataFrame) -> int:
     """How often texts of different labels meet in a shingle and bin of ``rows``, if all pairs were made."""
     by_label = rows.groupBy("shingle", "bin", "label").agg(F.sum(F.col("small").cast("long")).alias("s"), F.count(F.lit(1)).alias("n"))
@@ -279,19 +290,16 @@ def neighbours(rows: DataFrame, turn: int, similarity: float) -> DataFrame:
     return other.filter(can_be_near("one", "two", similarity)).select(*ordered("one", "two")).distinct()
 
 
-def all_meeting(rows: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of the texts of ``rows`` (see ``beginnings``), of different labels, that can be similar."""
-    parted = rows.groupBy("shingle", "bin").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most")
-    here = scratch.keep(rows.join(scratch.keep(parted.select("shingle", "bin"), "near-parted"), ["shingle", "bin"]), "near-here")
-    pairs = here.filter("small").alias("small").join(here.alias("large"), ["shingle", "bin"]).filter(
+def all_meeting(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the texts of ``rows`` (see ``in_play``), of different labels, that can be similar."""
+    pairs = rows.filter("small").alias("small").join(rows.alias("large"), ["shingle", "bin"]).filter(
         (F.col("small.total") <= F.col("large.total")) & can_be_near("small", "large", similarity))
     return pairs.select(*ordered("small", "large")).distinct()
 
 
 def sharing(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of texts (node, label, _words) of different labels that can be similar: all that are, and few others."""
-    rows = beginnings(texts, similarity, scratch).join(texts.select("node", "label"), "node")
-    return all_meeting(scratch.keep(rows, "near-rows"), similarity, scratch)
+    return all_meeting(in_play(beginnings(texts, similarity, scratch), scratch), similarity)
 
 
 def judged(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -376,15 +384,15 @@ def _near_classes(located_rows: DataFrame, file: str, row: str, id_col: str, tex
     open_nodes = scratch.keep(undecided(met, labels, scratch), "near-open")
     if not open_nodes.isEmpty():
         texts = texts_at(nodes.join(open_nodes, "node").select("node", "label", "_f", "_row"), "near-open-texts")
-        early = beginnings(texts, similarity, scratch)
+        rows = beginnings(texts, similarity, scratch)
         before = math.inf
         for turn in itertools.count():
-            rows = scratch.keep(early.join(open_nodes, "node"), "near-rows")
+            rows = in_play(rows, scratch)
             left = meetings(rows)
             # texts of one class need not meet, so each turn leaves fewer pairs; it ends where they are few, or mostly unlike
             crowded = CROWD * open_nodes.count() < left < 0.9 * before
             before = left
-            pairs = neighbours(rows, turn, similarity) if crowded else all_meeting(rows, similarity, scratch)
+            pairs = neighbours(rows, turn, similarity) if crowded else all_meeting(rows, similarity)
             found = linked(scratch.keep(pairs, "near-candidates"))
             if not found.isEmpty():
                 labels = joined_classes(labels, open_nodes, found)
@@ -392,6 +400,7 @@ def _near_classes(located_rows: DataFrame, file: str, row: str, id_col: str, tex
             if not crowded:
                 break
             open_nodes = scratch.keep(relabelled(open_nodes, labels), "near-open")
+            rows = scratch.keep(rows.drop("label").join(open_nodes, "node").select(rows.columns), "near-rows")
     degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("n_links"))
 
     in_class = (table.select("id", "_f", "_row", "node", F.when(F.col("n") > 0, F.col("h1")).otherwise(F.col("node")).alias("h1"),

@@ -373,6 +373,38 @@ def test_crowds_of_near_copies_meet_few_of_each_other(spark, monkeypatch):
     assert sum(pairs) < 35 * 300, pairs
 
 
+def test_turns_go_through_fewer_rows_each(spark, monkeypatch):
+    """Every turn used to join all beginnings anew; now only texts that still meet one of another class stay in play."""
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(170)]
+    rows = [(i, " ".join(w for k, w in enumerate(words) if k not in gone)) for i in range(200)
+            for gone in [set(rnd.sample(range(5, 170, 14), rnd.choice((1, 2, 3, 4))))]]
+    rows += [(200 + i, " ".join(f"v{i}_{k // 2}" for k in range(60))) for i in range(20)]
+    turns = []
+    meetings = near_dedup.meetings
+
+    def counted(found):
+        turns.append(found.count())
+        return meetings(found)
+
+    monkeypatch.setattr(near_dedup, "meetings", counted)
+    monkeypatch.setattr(near_dedup, "candidates", lambda met: met.select(met.node.alias("a"), met.low.alias("b")).limit(0))
+    near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(turns) > 1 and all(b < a for a, b in zip(turns, turns[1:])), turns
+
+
+def test_rows_in_play_meet_another_label_by_a_smaller_partner(spark):
+    given = [(1, 1, "one label", True), (2, 1, "one label", False),
+             (3, 3, "no smaller partner", False), (4, 4, "no smaller partner", False),
+             (5, 5, "met", True), (6, 6, "met", False), (7, 5, "met", False),
+             (8, 8, "two small", True), (9, 9, "two small", True), (10, 8, "two small", False)]
+    rows = spark.createDataFrame([(n, label, key, 0, small) for n, label, key, small in given],
+                                 "node long, label long, shingle string, bin int, small boolean")
+    scratch = near_dedup.Scratch(spark)
+    assert sorted(r.node for r in near_dedup.in_play(rows, scratch).collect()) == [5, 6, 8, 9, 10]
+    scratch.delete()
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(2)
     element = rng.integers(1, 2 ** 62, 400).astype(np.uint64)
