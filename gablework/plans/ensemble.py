@@ -17,7 +17,7 @@ from ..session import kept, side_by_side, small_frame
 from ..validation.folds import with_folds
 from ..validation.search import fold_values
 from .features import FeaturePlan
-from .regressor import SCALED, TabularRegressor, fit_together, predict_beside
+from .regressor import SCALED, TabularRegressor, fit_together, predict_all_beside
 from .target import TargetTransform
 
 
@@ -79,6 +79,9 @@ class Stack:
         self.names = [f"base_{i}" for i in range(len(self.bases))]
         self.model = None
 
+    def _predictions(self) -> list[str]:
+        return [base.prediction for base in self.bases]
+
     @contextmanager
     def out_of_fold(self, df: DataFrame) -> Iterator[DataFrame]:
         """The rows with one out-of-fold column per base model, kept while in use. The
@@ -91,9 +94,7 @@ class Stack:
             parts = []
             for f in folds:
                 held = rows.where(F.col("_fold") == f)
-                for name, base, model in zip(self.names, self.bases, self.fold_models[f]):
-                    held = predict_beside(model, held, name, base.prediction)
-                parts.append(held)
+                parts.append(predict_all_beside(self.fold_models[f], held, self.names, self._predictions()))
             with kept(reduce(DataFrame.unionByName, parts)) as table:
                 yield table
 
@@ -126,12 +127,10 @@ class Stack:
             raise ValueError("fit the stack first")
         folds = sorted(self.fold_models)
         columns = df.columns
-        for i, base in enumerate(self.bases):
-            each = [f"_{self.names[i]}_{f}" for f in folds]
-            for name, f in zip(each, folds):
-                df = predict_beside(self.fold_models[f][i], df, name, base.prediction)
-            columns = [*columns, self.names[i]]
-            df = df.withColumn(self.names[i], row_mean(each)).select([col(c) for c in columns])
+        for f in folds:
+            df = predict_all_beside(self.fold_models[f], df, [f"_{name}_{f}" for name in self.names], self._predictions())
+        means = [row_mean([f"_{name}_{f}" for f in folds]).alias(name) for name in self.names]
+        df = df.select(*[col(c) for c in columns], *means)
         for stage in [*self.stages, self.model]:
             df = stage.transform(df)
         return df.select(col(self.key), self.target_model.inverse(F.col("prediction")).alias("prediction"))

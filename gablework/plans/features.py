@@ -12,7 +12,7 @@ from ..operators import distribution as D
 from ..operators.profile import fit_moments
 from ..operators.transformers import (QUARTILES, RobustScale, _or_one, learn_levels, level_name, place,
                                       quartiles_of, yeo_johnson_value)
-from ..session import kept, side_by_side
+from ..session import in_compiled_methods, kept, side_by_side
 from ..stage import Fitted, Learner, unique
 
 
@@ -138,6 +138,7 @@ class FeaturePlanModel(Fitted):
         return names
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        in_compiled_methods(df.sparkSession)
         blocks, learned, final = self["blocks"], self["learned"], self["final"]
         keep = [text.name(c) for c in [*self["keep"], CARRIED] if c in df.columns]
         filled, first_pass, out = _filled_text(df, blocks), [], []

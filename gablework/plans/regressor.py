@@ -141,3 +141,22 @@ def predict_beside(model, df: DataFrame, name: str, prediction: str = "predictio
     carried = df.select("*", F.struct(*[col(c) for c in df.columns]).alias(CARRIED))
     return model.transform(carried).select(f"{CARRIED}.*", col(prediction).alias(name))
 
+
+def predict_all_beside(models: Sequence[PipelineModel], df: DataFrame, names: Sequence[str],
+                       predictions: Sequence[str]) -> DataFrame:
+    """``predict_beside`` for the models of one ``fit_together``: those that share a preparation go through it once."""
+    columns, groups = df.columns, {}
+    for model, name, prediction in zip(models, names, predictions):
+        groups.setdefault(tuple(map(id, model.stages[:-2])), []).append((model, name, prediction))
+    for members in groups.values():
+        wide = df.select("*", F.struct(*[col(c) for c in df.columns]).alias(CARRIED))
+        for stage in members[0][0].stages[:-2]:
+            wide = stage.transform(wide)
+        for model, name, prediction in members:
+            before = wide.columns
+            for stage in model.stages[-2:]:
+                wide = stage.transform(wide)
+            wide = wide.select(*[col(c) for c in before], col(prediction).alias(name))
+        df = wide.select(f"{CARRIED}.*", *[col(name) for _, name, _ in members])
+    return df.select([col(c) for c in [*columns, *names]])
+

@@ -10,7 +10,7 @@ from gablework.catalog.models import regressor
 from gablework.models.linear import ElasticNet, Lasso, Ridge
 from gablework.models.trees import Boosted, Tree
 from gablework.operators import match, transformers as T
-from gablework.plans import ensemble, presets
+from gablework.plans import ensemble, presets, regressor as regressor_module
 from gablework.plans.cleaning import CleaningRules
 from gablework.plans.features import FeaturePlan, block
 from gablework.plans.regressor import TabularRegressor, predict_beside
@@ -188,6 +188,37 @@ def test_stack(split):
     assert out.count() == test.count() and out.where("prediction is null or prediction <= 0").count() == 0
 
 
+def test_stack_prepares_rows_once_for_all_bases_of_a_fold(split, monkeypatch):
+    """Cleaning and plan were gone through once per base and fold, in methods too long to be compiled."""
+    from gablework.plans.cleaning import CleaningModel
+
+    train, test = split
+    spark = train.sparkSession
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    spark.conf.unset(limit)
+    plan = FeaturePlan([block("a", ["liv_area"], scale=["standard"])])
+    bases = [regressor(Ridge(5.0)), regressor(Tree(2)), regressor(ElasticNet(0.01, 0.5))]
+    other_plan = TabularRegressor(Ridge(1.0), FeaturePlan([block("b", ["overall_qual"])]), "sale_price",
+                                  CleaningRules(powers={"square": ("liv_area", 2)}), keep=["id"])
+    stack = ensemble.Stack([*bases, other_plan], Ridge(1.0), plan, "sale_price", "id", k=2)
+    stack.fit(train)
+    cleaned = []
+    transform = CleaningModel._transform
+    monkeypatch.setattr(CleaningModel, "_transform", lambda self, df: cleaned.append(self) or transform(self, df))
+    out = stack.predict(test.drop("sale_price"))
+    assert len(cleaned) == 2 * 2  # folds times different preparations, not times bases
+    assert int(spark.conf.get(limit)) <= 8000
+    assert out.count() == test.count() and out.where("prediction is null").count() == 0
+    spark.conf.set(limit, before)
+    names = ["p0", "p1", "p2", "p3"]
+    together = regressor_module.predict_all_beside(stack.fold_models[0], test, names, ["prediction"] * 4)
+    assert together.columns == [*test.columns, *names]
+    for name, model in zip(names, stack.fold_models[0]):
+        alone = predict_beside(model, test, "alone").select("id", "alone")
+        assert together.join(alone, "id").where(f"abs({name} - alone) > 1e-9 * alone").count() == 0
+
+
 def test_presets_on_a_house_table(spark):
     """Every preset fits and predicts a table with the house-price columns."""
     rng = np.random.default_rng(5)
