@@ -32,7 +32,8 @@ REJECT_SHARE, USUAL = 0.4, 0.002
 #: Training fragments from which a class of sizes has a floor of its own; others take the nearest one's.
 FILLED = 20
 SIZES = 24  # classes of texts by the binary logarithm of their number of different grams
-PIECE = 1 << 20
+#: Bytes whose grams are counted at a time.
+PIECE = 1 << 17
 UNKNOWN = "und"
 
 _BITS = DIMENSIONS.bit_length() - 1
@@ -48,7 +49,7 @@ def has_letter(text: Column) -> Column:
 def gram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Counts of hashed 2-grams and 3-grams: one row for each text, whatever its length."""
     texts = len(offsets) - 1
-    out = np.zeros((texts + 1) * DIMENSIONS, np.float32)  # the last row takes what is no gram of one text
+    out = np.zeros(texts * DIMENSIONS, np.float32)
     for start in range(0, len(data), PIECE):
         stop = min(start + PIECE, len(data))
         b = _LETTER[data[start:min(stop + 2, len(data))]].astype(np.uint32)
@@ -64,16 +65,14 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             code = code[:size]
             blank = np.uint32(0x2020 if n == 2 else 0x202020)
             at = home[:size] + (code * np.uint32(factor) >> np.uint32(32 - _BITS))
-            over = code == blank
+            inside = code != blank
             for back in range(1, n):
                 crossing = ends - back
-                over[crossing[(crossing >= 0) & (crossing < size)]] = True
-            at[over] = texts * DIMENSIONS
+                inside[crossing[(crossing >= 0) & (crossing < size)]] = False
             base = int(first) * DIMENSIONS
-            found = np.bincount(np.where(over, texts * DIMENSIONS, at) - base)
-            keep = min(len(found), (texts * DIMENSIONS) - base)
-            out[base:base + keep] += found[:keep]
-    return out[:texts * DIMENSIONS].reshape(texts, DIMENSIONS)
+            found = np.bincount(at[inside] - base)
+            out[base:base + len(found)] += found
+    return out.reshape(texts, DIMENSIONS)
 
 
 def unit_vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -81,7 +80,8 @@ def unit_vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     seen = counts > 0
     v[seen] = 1 + np.log(counts[seen])
     v *= idf
-    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    return v
 
 
 def size_class(counts: np.ndarray) -> np.ndarray:
@@ -173,7 +173,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def of_language(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("text")
-        counts = np.concatenate([counts_of(list(group.text[i:i + 256])) for i in range(0, len(group), 256)])
+        counts = np.empty((len(group), DIMENSIONS), np.float32)
+        for i in range(0, len(group), 256):
+            counts[i:i + 256] = counts_of(list(group.text[i:i + 256]))
         c = spherical_means(unit_vectors(counts, idf), centroids)
         size, cosine, joined = [], [], counts
         for t in group.text:

@@ -46,7 +46,8 @@ SLACK = 1e-9
 CROWD = 16
 #: Followers that a row is compared with in one turn, and texts of a cell in which it has them.
 REACH, CELL = 16, 1024
-PIECE = 1 << 20
+#: Bytes whose words are hashed at a time; a worker keeps 32 bytes of powers for each.
+PIECE = 1 << 17
 
 
 def words(text: Column) -> Column:

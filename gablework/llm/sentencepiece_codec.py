@@ -20,11 +20,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import in_batches, unused, worker_cached
+from .common import in_batches, unused
 
 BLANK = "▁"
 #: Words kept in a worker's memo, and the longest of them.
 MEMO_WORDS, MEMO_LENGTH = 250_000, 64
+#: Pairs of pieces whose compatibility is remembered, as often again from before.
+FIT_PAIRS = 1 << 17
 #: Characters whose matches are found at a time, in texts without a blank.
 BLOCK = 1024
 
@@ -100,6 +102,7 @@ class Codec:
             inside = "".join(map(re.escape, sorted(joined - {BLANK})))
             self.cut = re.compile(f"{BLANK}*[{inside}]+|{BLANK}+|[^{inside}{BLANK}]").findall
         self.fits: dict[tuple[int, int], bool] = {}
+        self.older_fits: dict[tuple[int, int], bool] = {}
         self.memo: dict[str, str] = {}
         self.older: dict[str, str] = {}
         self.digits = {i: f"{i} " for i in (*self.piece, *self.byte_of)}
@@ -109,8 +112,13 @@ class Codec:
         """Whether merging the joined text of two pieces gives the two pieces again."""
         found = self.fits.get((a, b))
         if found is None:
-            p, q = self.piece[a], self.piece[b]
-            found = self.fits[a, b] = merged(p + q, self.scores) == [p, q]
+            found = self.older_fits.get((a, b))
+            if found is None:
+                p, q = self.piece[a], self.piece[b]
+                found = merged(p + q, self.scores) == [p, q]
+            if len(self.fits) >= FIT_PAIRS:
+                self.older_fits, self.fits = self.fits, {}
+            self.fits[a, b] = found
         return found
 
     def longest_at(self, text: str, block: int) -> dict[int, tuple[int, int]]:
@@ -253,11 +261,16 @@ def utf8(raw: bytes | bytearray) -> str:
 
 def _shared(docs: DataFrame, model: str):
     """A function for tasks that gives the worker's codec. What is broadcast is one vocabulary."""
-    tables = read_model(model)
-    key = "sentencepiece", hash(tuple(tables["pieces"]))
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    shared = docs.sparkSession.sparkContext.broadcast(read_model(model))
     in_batches(docs.sparkSession)
-    return lambda: worker_cached(key, lambda: Codec(shared.value))
+
+    def codec() -> Codec:
+        tables = shared.value  # Spark takes it out of a worker, the codec with it, when the next task has other work
+        if "codec" not in tables:
+            tables["codec"] = Codec(tables)
+        return tables["codec"]
+
+    return codec
 
 
 def encode(docs: DataFrame, model: str, text_col: str = "text", ids: str = "ids") -> DataFrame:
