@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gablework import sources
-from gablework.catalog.models import regressor
+from gablework.catalog.models import model_round_trip, regressor
 from gablework.models.linear import ElasticNet, Lasso, Ridge
 from gablework.models.trees import Boosted, Tree
 from gablework.operators import match, transformers as T
@@ -142,6 +142,22 @@ def test_regressor(split, spark):
     assert set(test.columns) < set(both.columns)
 
 
+def test_round_trip_query(spark):
+    """It called a helper by a module that no longer had it."""
+    own = spark.range(240).selectExpr(
+        "id", "concat('N', id % 4) neighborhood", "IF(id % 11 = 0, NULL, concat('Z', id % 3)) zoning",
+        "IF(id % 19 = 0, NULL, concat('E', id % 2)) electrical", "IF(id % 3 = 0, 'N', 'Y') central_air",
+        "element_at(array('Ex', 'Gd', 'TA', 'Fa', 'Po', NULL), cast(id % 6 AS int) + 1) qual", "1 + id % 7 overall_qual",
+        "IF(id % 29 = 0, NULL, 1 + id % 9) overall_cond", "IF(id % 7 = 0, NULL, 10 * (1 + id % 5)) frontage",
+        "10.0D + id * 37 % 101 liv_area", "IF(id % 23 = 0, NULL, cast(id % 13 AS double)) bsmt_sf",
+        "cast(id % 17 AS double) fl1_sf", "cast(id % 4 AS double) fl2_sf", "id % 3 full_bath", "id % 2 half_bath",
+        "IF(id % 17 = 0, NULL, cast(1992 + id % 7 AS int)) garage_yr", "cast(1990 + id % 8 AS int) yr_built",
+        "cast(1993 + id % 9 AS int) yr_remod", "cast(1 + id % 12 AS int) mo_sold", "cast(1994 + id % 8 AS int) yr_sold",
+        "500.0D + 40 * (id * 37 % 101) + 100 * (id % 7) sale_price")
+    rows = model_round_trip(own).collect()
+    assert sorted(r["id"] for r in rows) == list(range(0, 240, 4)) and all(r["same"] is True for r in rows)
+
+
 def test_tree_regressor_round_trip(split, spark):
     train, test = split
     r = regressor(Boosted(n_trees=5, rate=0.3))
