@@ -127,6 +127,39 @@ def test_groups_bound_the_rank(data, monkeypatch):
     assert abs((y < start).mean() - 0.5) <= 1 / 20
 
 
+def test_quantiles_are_exact_at_any_size(spark):
+    """A task with over 16,384 values of a leaf sent groups by their middle values, so results changed with the size."""
+    df = spark.range(40_000).selectExpr("id % 3 AS a", "abs(xxhash64(id)) % 1000003 / 7.0D AS y")
+    y = df.toPandas()["y"].to_numpy()
+    assert Boosting(n_trees=0, loss="huber").fit(df, ["a"], "y")["start"] == np.median(y)
+
+
+def test_quantiles_of_many_tasks_and_passes(data, monkeypatch):
+    """Few values sent at once, so that each quantile takes several passes over several tasks."""
+    df, x, y, marks = data
+    seen = []
+    between = boosting.between
+    monkeypatch.setattr(boosting, "between", lambda sent, q: seen.append(len(sent)) or between(sent, q))
+    for name, value in (("EXACT", 16), ("GROUPS", 8), ("TASK_CELLS", 1000), ("BLOCK_ROWS", 40)):
+        monkeypatch.setattr(boosting, name, value)
+    how = Boosting(n_trees=4, depth=2, loss="huber", rows=0.8, rate=0.5, leaf=10)
+    ours = how.fit(df, X, "y", key="id").transform(df).toPandas().sort_values("id")
+    assert np.allclose(ours["prediction"], plain_boosting(how, x, y, marks), rtol=1e-9, atol=1e-9)
+    assert max(seen) > 1 and len(seen) > 2 * (1 + 4 * (1 + 4))
+
+
+@pytest.mark.parametrize("q", [0.0, 0.31, 0.5, 0.9, 1.0])
+def test_quantiles_with_ties(spark, monkeypatch, q):
+    for name, value in (("EXACT", 16), ("GROUPS", 8)):
+        monkeypatch.setattr(boosting, name, value)
+    y = np.concatenate([np.repeat([-3.0, 0.0, 2.5, 7.0], [400, 900, 300, 700]), np.linspace(-4, 9, 333)])
+    df = spark.createDataFrame(pd.DataFrame({"a": 1.0, "y": y}))
+    rows = df.selectExpr("a", "y", f"xxhash64(y) AS {boosting.MARK}")
+    with boosting._Training(Boosting(), rows, ["a"], "y", False, [[]]) as work:
+        assert work.quantiles(work.weights, None, q, None, False)[0] == pytest.approx(np.quantile(y, q), abs=1e-12)
+        assert work.quantiles(work.weights, None, q, None, True)[0] == pytest.approx(np.quantile(np.abs(y), q), abs=1e-12)
+
+
 def test_many_values_are_cut_at_quantiles(spark):
     df = spark.range(5000).selectExpr("id / 7.0 AS a", "IF(id < 2500, 1.0, 3.0) AS y")
     edges, = boosting.bin_edges(df, ["a"], 32)
