@@ -6,8 +6,10 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from gablework.catalog import models as queries
 from gablework.models import boosting
 from gablework.models.boosting import Boosting
+from gablework.plans import presets
 from gablework.sources import load_model, save_model
 
 X = ["a", "b", "c", "d"]
@@ -160,6 +162,21 @@ def test_quantiles_with_ties(spark, monkeypatch, q):
         assert work.quantiles(work.weights, None, q, None, True)[0] == pytest.approx(np.quantile(np.abs(y), q), abs=1e-12)
 
 
+def test_leafwise_query_grows_every_tree_of_its_preset(spark, monkeypatch):
+    """It grew 60 of the 250 trees."""
+    seen = []
+    fit = Boosting.fit
+
+    def watched(how, df, features, target, **rest):
+        seen.append((how, df.count()))
+        return fit(Boosting(n_trees=1), df, features, target, **rest)
+
+    monkeypatch.setattr(Boosting, "fit", watched)
+    own = spark.range(40).selectExpr("id", "1000.0D * (1 + id % 5) sale_price", *(f"id % {k + 2} {c}" for k, c in enumerate(queries.COMPLETE)))
+    assert queries.gbt_leafwise(own).where("prediction is not null").count() == 40
+    assert seen == [(presets.leafwise(), 40)] and seen[0][0].n_trees == 250
+
+
 def test_many_values_are_cut_at_quantiles(spark):
     df = spark.range(5000).selectExpr("id / 7.0 AS a", "IF(id < 2500, 1.0, 3.0) AS y")
     edges, = boosting.bin_edges(df, ["a"], 32)
